@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, oracles, quality_rules
+from . import byte_bpe, line_dedup, oracles, packing, quality_rules
 from .common import table
 
 
@@ -16,5 +16,19 @@ def op7_line_dedup(spark, sf_dir):
     return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op7_line_dedup)}
+def op5_byte_bpe(spark, sf_dir, vocabulary: str = "byte_bpe_multi_50k.tiktoken"):
+    """Byte-level BPE ids of every document, and what they decode to."""
+    import public_tokenizers
+
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
+
+
+def op10_best_fit_packing(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
+    """All documents packed into sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary)))
+
+
+QUERIES = {f.__name__: f for f in (op5_byte_bpe, op6_quality_rules, op7_line_dedup, op10_best_fit_packing)}
 ORACLES = oracles.ORACLES
