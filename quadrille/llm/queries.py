@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, compress_quality, line_dedup, oracles, packing, quality_rules, secret_scan
+from . import byte_bpe, compress_quality, line_dedup, ngram_join, oracles, packing, quality_rules, secret_scan
 from .common import table
 
 
@@ -33,6 +33,11 @@ def op5_byte_bpe(spark, sf_dir, vocabulary: str = "byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
     """All documents packed into sequences of at most 4096 tokens."""
     import public_tokenizers
@@ -40,5 +45,5 @@ def op10_best_fit_packing(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary)))
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_quality, op4_secret_scan, op5_byte_bpe, op6_quality_rules, op7_line_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_compression_quality, op4_secret_scan, op5_byte_bpe, op6_quality_rules, op7_line_dedup, op9_ngram_jaccard, op10_best_fit_packing)}
 ORACLES = oracles.ORACLES
