@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, compress_quality, line_dedup, ngram_join, oracles, packing, quality_rules, secret_scan
+from . import attention_lm, byte_bpe, compress_quality, line_dedup, ngram_join, oracles, packing, quality_rules, secret_scan
 from .common import table
 
 
@@ -21,6 +21,13 @@ def op1_compression_quality(spark, sf_dir):
     return compress_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_attention_lm(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
+    """Every document scored by the attention model and by word counts."""
+    import public_tokenizers
+
+    return attention_lm.text_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary))
+
+
 def op4_secret_scan(spark, sf_dir):
     """Secrets in every document, by pattern and by entropy."""
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
@@ -45,5 +52,5 @@ def op10_best_fit_packing(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary)))
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_quality, op4_secret_scan, op5_byte_bpe, op6_quality_rules, op7_line_dedup, op9_ngram_jaccard, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_compression_quality, op3_attention_lm, op4_secret_scan, op5_byte_bpe, op6_quality_rules, op7_line_dedup, op9_ngram_jaccard, op10_best_fit_packing)}
 ORACLES = oracles.ORACLES
