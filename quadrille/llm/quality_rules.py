@@ -11,7 +11,10 @@ repeated rows are judged alike; rows with a null doc_id keep it; other columns a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import per_document, texts_of
@@ -90,3 +93,13 @@ FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def repetition(docs: DataFrame) -> DataFrame:
     """doc_id and the measures of every row's whole text. No shuffle; memory is one Arrow batch."""
     return per_document(texts_of(docs), lambda texts: list(zip(*map(measure, texts), strict=True)), FIELDS)
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the rules keep."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([measure(t.encode() if t else b"")[6] for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

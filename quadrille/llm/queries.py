@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import attention_lm, byte_bpe, compress_quality, line_dedup, ngram_join, oracles, packing, quality_rules, secret_scan
-from .common import table
+from pyspark.sql import functions as F
+
+from . import attention_lm, byte_bpe, chat_parse, chroma, compress_quality, line_dedup, ngram_join, oracles, packing, quality_rules, secret_scan
+from .common import checkpointed, table
 
 
 def op6_quality_rules(spark, sf_dir):
@@ -21,6 +23,12 @@ def op1_compression_quality(spark, sf_dir):
     return compress_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_chroma_fingerprints(spark, sf_dir):
+    """Recordings that stand for the vectors of ``embeddings``, fingerprinted; every fiftieth aligned with all."""
+    audio = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("audio"))
+    return chroma.aligned(chroma.fingerprints(audio, "vec_id", chroma.melodies))
+
+
 def op3_attention_lm(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
     """Every document scored by the attention model and by word counts."""
     import public_tokenizers
@@ -40,6 +48,13 @@ def op5_byte_bpe(spark, sf_dir, vocabulary: str = "byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
 
 
+def op8_chat_format(spark, sf_dir):
+    """Conversations written out as transcripts, their roles recovered, rendered canonically."""
+    segs = checkpointed(chat_parse.segments(table(spark, sf_dir, "conversations")))
+    out = chat_parse.parsed(segs, chat_parse.learn(segs))
+    return out.select("conv_id", "segment", "slice", "n_lines", "n_right", F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
 def op9_ngram_jaccard(spark, sf_dir):
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
@@ -52,5 +67,5 @@ def op10_best_fit_packing(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary)))
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_quality, op3_attention_lm, op4_secret_scan, op5_byte_bpe, op6_quality_rules, op7_line_dedup, op9_ngram_jaccard, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_compression_quality, op2_chroma_fingerprints, op3_attention_lm, op4_secret_scan, op5_byte_bpe, op6_quality_rules, op7_line_dedup, op8_chat_format, op9_ngram_jaccard, op10_best_fit_packing)}
 ORACLES = oracles.ORACLES
