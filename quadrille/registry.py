@@ -1,4 +1,4 @@
-"""The queries of the library, with their oracles; filled by the modules of ``quadrille.plans``."""
+"""The queries of the library with their oracles; the modules of ``quadrille.plans`` fill them in."""
 
 from __future__ import annotations
 
@@ -7,5 +7,8 @@ ORACLES: dict = {}
 
 
 def FLAGSHIP(spark, sf_dir):
-    """Row counts by region, until the graph queries are registered."""
-    return spark.read.parquet(f"{sf_dir}/region.parquet")
+    """Everything inferred to lie in region 0: customers and suppliers, through the nations under it."""
+    return QUERIES["nodes_in_category"](spark, sf_dir)
+
+
+from .plans import graph_queries  # noqa: E402,F401  fills QUERIES and ORACLES
