@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +30,23 @@ from .common import checkpointed, texts_of
 
 #: Pieces in a group, about.
 GROUP_PIECES = 8192
-#: Chunks kept with their ids, by a worker, and the longest one kept.
-CACHE_CHUNKS, CACHE_BYTES = 400_000, 48
+#: Chunks and pieces kept with their ids, by a worker; beyond that a cache starts anew; longer ones aren't kept.
+CACHE_CHUNKS, CACHE_PIECES, CACHE_BYTES = 400_000, 400_000, 48
+#: How the tokenizer's pre-tokenizer cuts lower-case text, for the letters below U+0100 (a fixed value).
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+").findall
+#: Chunks of printable ASCII and Latin-1 letters: lower case is letter by letter, NFC changes nothing.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+#: The byte-level alphabet: printable bytes stand for themselves, the others for U+0100 and on, in their order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_ALPHABET = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
 
 
 class ChunkTokenizer:
     """Ids of whole texts from a tokenizer that drops white space and never merges across it.
 
     The six ASCII white space characters are separators for its pre-tokenizer, so a text's ids are those of its
-    chunks, one after the other. Chunks met before are looked up.
+    chunks, one after the other. Chunks met before are looked up. A new one in plain letters goes to the
+    tokenizer's model piece by piece; any other goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -44,28 +54,40 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        got = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        new = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(chunks, got, strict=True)}
-        if len(self.known) + len(new) > CACHE_CHUNKS:
-            self.known.clear()
-        self.known.update((c, x) for c, x in new.items() if len(c) <= CACHE_BYTES)
-        return new
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_ALPHABET)
+        ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        if len(piece) <= CACHE_BYTES:
+            if len(self.pieces) >= CACHE_PIECES:
+                self.pieces.clear()
+            self.pieces[piece] = ids
+        return ids
+
+    def _learn(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8", "replace")
+        if _PLAIN(text):
+            seen = self.pieces.get
+            ids = b"".join([seen(p) or self._piece(p) for p in _PIECES(text.lower())])
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= CACHE_BYTES:
+            if len(self.known) >= CACHE_CHUNKS:
+                self.known.clear()
+            self.known[chunk] = ids
+        return ids
 
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        chunks, known = text.split(), self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            new = self._learn(list({c for c in chunks if c not in known}))
-            # A full cache may have begun anew in between.
-            rest = {c for c in chunks if c not in new and c not in self.known}
-            new |= self._learn(list(rest)) if rest else {}
-            known = self.known
-            return b"".join([x if (x := new.get(c)) is not None else known[c] for c in chunks])
+        chunks = text.split()
+        parts = list(map(self.known.get, chunks))
+        if None in parts:
+            for i in [i for i, x in enumerate(parts) if x is None]:
+                parts[i] = self._learn(chunks[i]) if (x := self.known.get(chunks[i])) is None else x
+        return b"".join(parts)
 
 
 @functools.lru_cache(2)
