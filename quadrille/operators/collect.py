@@ -30,4 +30,4 @@ def collect(triples: DataFrame, fmt: str, *keys: str, prefixes: dict[str, str] |
         first = {k: [pdf[k].iloc[0]] for k in keys}
         return pd.DataFrame(first | {"rdf": [Document(rows, prefixes).write(name)]})
 
-    return triples.select(*keys, *cols).groupBy(*keys).applyInPandas(write, schema)
+    return triples.select(*dict.fromkeys([*keys, *cols])).groupBy(*keys).applyInPandas(write, schema)
