@@ -110,6 +110,10 @@ def is_secret(token: Column) -> Column:
     return found
 
 
+def _long_enough(least: int):
+    return lambda s: F.length(s["what"]) >= least
+
+
 def _kinded(spans: Column, kind: str) -> Column:
     empty = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")
     made = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind")))
@@ -125,7 +129,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit("")))
     for kind, pattern, group, least in BASE:
         out = out.withColumn(f"__{kind}", _placed(F.col("__text"), pattern, group))
-        out = out.withColumn(f"__{kind}", _kinded(F.filter(f"__{kind}", lambda s, least=least: F.length(s["what"]) >= least), kind))
+        out = out.withColumn(f"__{kind}", _kinded(F.filter(f"__{kind}", _long_enough(least)), kind))
     out = out.withColumn("__base", F.array_sort(F.concat("__assign", "__access", "__hex")))
     out = out.withColumn("__candidates", _placed(F.col("__text"), CANDIDATE, 0))
     clear = lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
