@@ -82,3 +82,15 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{sc._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def narrow(df: DataFrame, rows: int, each: int = 20_000) -> DataFrame:
+    """``df`` in about as many partitions as so many rows need, at most those it has: small tables get few tasks."""
+    return df.coalesce(max(4, min(partitions(df.sparkSession), -(-rows // each))))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most so many, which bounds what a task holds beside Spark's batch."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

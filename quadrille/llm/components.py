@@ -11,30 +11,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, narrow
 
-JUMPS = 3
+JUMPS = 2
 
 
-def _follow(labels: DataFrame, parents: DataFrame) -> DataFrame:
+def follow(labels: DataFrame, parents: DataFrame) -> DataFrame:
     """``labels`` (node, comp) with each comp replaced by its parent, if it has one."""
     up = parents.select(F.col("node").alias("__at"), F.col("comp").alias("__up"))
     return labels.join(up, F.col("comp") == F.col("__at"), "left").select("node", F.coalesce("__up", "comp").alias("comp"))
 
 
-def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, comp) for every node with an edge; comp is one of the component's nodes. Empty for no pairs."""
-    edges = pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
-    edges, labels = checkpointed(edges), None
+def jumped(parents: DataFrame, jumps: int = JUMPS) -> DataFrame:
+    """Pointers that lead 2 ** jumps steps up; ``parents`` should be settled, for it is read so many times."""
+    for _ in range(jumps):
+        parents = follow(parents, parents)
+    return parents
+
+
+def components(pairs: DataFrame, a: str = "a", b: str = "b", nodes: int = 1 << 60) -> DataFrame:
+    """(node, comp) for every node with an edge; comp is one of the component's nodes. Empty for no pairs.
+
+    ``nodes`` is a bound of their number, for the width of the tables in between.
+    """
+    keep = lambda df: checkpointed(narrow(df, nodes))
+    edges = keep(pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct())
+    labels = None
     while not edges.isEmpty():
         ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")), F.struct(F.col("v").alias("node"), F.col("u").alias("other")))).alias("e")).select("e.*")
-        parents = ends.groupBy("node").agg(F.min("other").alias("comp")).select("node", F.least("node", "comp").alias("comp"))
-        parents = checkpointed(parents)
-        for _ in range(JUMPS):
-            parents = _follow(parents, parents)
-        parents = checkpointed(parents)
-        labels = parents if labels is None else checkpointed(_follow(labels, parents))
+        nearest = ends.groupBy("node").agg(F.min("other").alias("comp")).select("node", F.least("node", "comp").alias("comp"))
+        parents = jumped(keep(nearest))
+        labels = parents if labels is None else follow(labels, parents)
         p, q = (parents.select(F.col("node").alias(x), F.col("comp").alias(y)) for x, y in (("u", "pu"), ("v", "pv")))
         moved = edges.join(p, "u").join(q, "v").where("pu <> pv")
-        edges = checkpointed(moved.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct())
+        edges = keep(moved.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct())
     return labels if labels is not None else edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))

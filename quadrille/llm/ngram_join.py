@@ -7,9 +7,10 @@ share a shingle within the prefixes of both, so only prefix shingles are joined.
 
 To link a group of copies without listing all its pairs, each class is first compared with one representative
 of a shingle it shares; what is linked so is contracted. Shingles whose holders all lie in one component are
-done. The rest is joined pair by pair, under the index prefix, length and positional filters, across components
-only; what passes is met by the suffix filter, which bounds the Hamming distance by counts between fixed pivots.
-Every pair left is verified once on the whole texts.
+done. The rest is joined pair by pair, under the index prefix, length, positional and suffix filters, across
+components only. The suffix filter bounds the Hamming distance of two sets from below without their members: by
+the parities of the numbers of shingles between 512 fixed pivots, since each shingle that only one set has flips
+one parity, and by the numbers between 32 of them. Every pair left is verified once on the whole texts.
 
 Cases: a null or empty text, or one without a word, has the empty set and is linked with nothing; fewer words
 than a shingle has make one shingle; repeated rows are one class; a null doc_id stands below every other id; an
@@ -25,16 +26,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, checkpointed, partitions, texts_of
-from .components import components
+from .common import NULL_ID, checkpointed, narrow, partitions, sliced, texts_of
+from .components import components, jumped
 
 #: Buckets of the table of counts, in blocks that are summed apart; its size never grows.
 BUCKET_BITS, BLOCKS = 20, 256
 #: Pivots of the suffix filter.
-PIVOTS = 32
+PIVOTS, PARITY_BITS = 32, 9
+SIGNS = [f"s{i}" for i in range((1 << PARITY_BITS) // 64)]
 #: Members verified beside one copy of their representative.
 BESIDE = 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -83,7 +85,7 @@ def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
 def total_counts(parts: DataFrame) -> np.ndarray:
     """The sum of the tables in (block, salt, blob) rows, one set of blocks a task; two steps, so that no task meets all."""
     for keys in (("block", "salt"), ("block",)):
-        parts = parts.groupBy(*keys).applyInPandas(_summed, "block int, salt int, blob binary")
+        parts = parts.groupBy(*keys).applyInPandas(_summed, "block int, salt int, blob binary").coalesce(8)  # of fixed size
     out = np.zeros((BLOCKS, (1 << BUCKET_BITS) // BLOCKS), np.int64)
     for r in parts.collect():  # BLOCKS rows, of fixed size
         out[r.block] = np.frombuffer(zlib.decompress(r.blob), "<i8")
@@ -123,18 +125,19 @@ def _sets(k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        names = ["id", "n", "cls", "pivots", "block", "salt", "blob"]
-        for b in batches:
+        names = ["id", "n", "cls", "pivots", *SIGNS, "block", "salt", "blob"]
+        for b in sliced(batches):
             sets = [shingles(t, k) for t in b.column("text").to_pylist()]
             if not sets:
                 continue
             counts += np.bincount(buckets(np.concatenate(sets)), minlength=1 << BUCKET_BITS)
             piv = [np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=PIVOTS).astype(np.int32) for s in sets]
+            odd = np.packbits(np.stack([np.bincount((s >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1 for s in sets]).astype(bool), axis=1).view("<i8")
             m = len(sets)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) for s in sets], pa.int64()), pa.array(piv, pa.list_(pa.int32())), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) for s in sets], pa.int64()), pa.array(piv, pa.list_(pa.int32())), *(pa.array(np.ascontiguousarray(x)) for x in odd.T), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
         if counts.any():
             rows = _table_rows(counts)
-            yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.list_(pa.int32())), *rows.columns], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.list_(pa.int32())), *(pa.nulls(BLOCKS, pa.int64()) for _ in SIGNS), *rows.columns], names=names)
 
     return run
 
@@ -146,7 +149,7 @@ def prefix_size(n: int, percent: int) -> int:
 
 def _prefixes(k: int, percent: int, rank: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             grams, cls, sizes, places = [], [], [], []
             for text in b.column("text").to_pylist():
                 s = shingles(text, k)
@@ -178,7 +181,7 @@ def _verified(k: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, base = None, None
-        for b in batches:
+        for b in sliced(batches):
             out = []
             for cls, node, member, text in zip(*(b.column(c).to_pylist() for c in ("b", "a", "member", "text")), strict=True):
                 if not member:
@@ -201,7 +204,7 @@ def _verified(k: int, percent: int):
 # --- the join ------------------------------------------------------------------------------------------------
 
 
-def _verify(keyed: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def _verify(keyed: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int, many: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) of classes that reach the threshold."""
     ca = classes.select(F.col("cls").alias("a"), F.col("rid").alias("ra"), F.col("n").alias("na"), F.col("pivots").alias("pa"))
     cb = classes.select(F.col("cls").alias("b"), F.col("rid").alias("rb"), F.col("n").alias("nb"), F.col("pivots").alias("pb"))
@@ -210,7 +213,7 @@ def _verify(keyed: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, perc
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
     apart = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
     met = met.where((100 * small >= percent * large) & (apart <= F.col("na") + F.col("nb") - 2 * need))
-    met = checkpointed(met.select("a", "ra", "b", "rb"))
+    met = checkpointed(narrow(met.select("a", "ra", "b", "rb"), many))
     sizes = met.groupBy("b", "rb").agg(F.ceil(F.count("*") / BESIDE).cast("int").alias("salts"))
     ids = met.select(F.explode(F.array("ra", "rb")).alias("id")).distinct()
     texts = keyed.mapInArrow(_wanted(_id_table(ids)), "id long, text binary")
@@ -241,11 +244,12 @@ def linked_classes(docs: DataFrame, k: int = 4, percent: int = 85, dense: int =
     row, as long as it links something; then the rest is joined.
     """
     keyed = texts_of(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text")
-    both = checkpointed(keyed.mapInArrow(_sets(k), "id long, n long, cls long, pivots array<int>, block int, salt int, blob binary"))
+    both = checkpointed(keyed.mapInArrow(_sets(k), ", ".join(["id long, n long, cls long, pivots array<int>", *(f"{x} long" for x in SIGNS), "block int, salt int, blob binary"])))
     counts = total_counts(both.where("blob is not null").select("block", "salt", "blob"))
     rank = np.floor(8 * np.log2(counts + 1.0)).astype(np.uint8)
     docs_ = both.where("blob is null").select("id", "n", "cls")
-    classes = checkpointed(both.where("n > 0").groupBy("cls").agg(F.min("id").alias("rid"), F.first("n").alias("n"), F.first("pivots").alias("pivots")))
+    many = docs_.count()
+    classes = checkpointed(narrow(both.where("n > 0").groupBy("cls").agg(F.min("id").alias("rid"), F.first("n").alias("n"), F.first("pivots").alias("pivots"), *(F.first(x).alias(x) for x in SIGNS)), many))
     postings = keyed.mapInArrow(_prefixes(k, percent, rank), "g long, cls long, n int, pos int")
     spread = postings.groupBy("g").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("g")
     rows = checkpointed(postings.join(spread, "g").distinct().withColumn("comp", F.col("cls")))
@@ -261,20 +265,27 @@ def linked_classes(docs: DataFrame, k: int = 4, percent: int = 85, dense: int =
         # One representative a shingle, and of those one for each class.
         lead = rows.groupBy("g").agg(F.min(F.struct(F.xxhash64("comp", F.lit(turn)).alias("h"), "cls", "comp")).alias("r")).select("g", "r.cls", "r.comp", "r.h").toDF("g", "b", "bcomp", "h")
         pairs = rows.join(lead, "g").where("comp <> bcomp").groupBy(F.col("cls").alias("a")).agg(F.min(F.struct("h", "b")).alias("r")).select("a", F.col("r.b").alias("b"))
-        found = _verify(keyed, classes, pairs, k, percent)
+        found = _verify(keyed, classes, pairs, k, percent, many)
         gained = not found.isEmpty()
         turn += 1
         if gained:
             links.append(found)
-            labels = components(_union(links))
+            # The first round's pointers lead to ever smaller hashes, so they are a forest: jumps do.
+            labels = jumped(found.select(F.col("a").alias("node"), F.col("b").alias("comp")), 3) if turn == 1 else components(_union(links), nodes=many)
             rows = checkpointed(_open(_relabel(rows.withColumn("comp", F.col("cls")), labels)))
     if not rows.isEmpty():
-        x, y = rows.select("g", *[F.col(c).alias(f"{c}{i}") for c in ("cls", "n", "pos", "comp") for i in (1,)]), rows.select("g", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "pos", "comp")])
-        n1, n2, p1, p2 = (F.col(c).cast("long") for c in ("n1", "n2", "pos1", "pos2"))
-        index = F.expr(f"pos1 < n1 - cast(ceil({2 * percent} * n1 / {100 + percent}) as int) + 1")
-        reach = (100 + percent) * (1 + F.least(n1 - p1, n2 - p2) - 1) >= percent * (n1 + n2)
-        near = x.join(y, "g").where((F.col("comp1") != F.col("comp2")) & ((n1 < n2) | ((n1 == n2) & (F.col("cls1") < F.col("cls2")))) & index & (100 * n1 >= percent * n2) & reach)
-        links.append(_verify(keyed, classes, near.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct(), k, percent))
+        # A pair passes at the first shingle that both hold. If one of the three before it is held by both, it isn't the first.
+        order = Window.partitionBy("cls").orderBy("pos")
+        signed = rows.join(classes.select("cls", *SIGNS), "cls").withColumns({f"before{i}": F.lag("g", i).over(order) for i in (1, 2, 3)})
+        x, y = (signed.select("g", *[F.col(c).alias(c + i) for c in ("cls", "n", "pos", "comp", "before1", "before2", "before3", *SIGNS)]) for i in "xy")
+        first = ~F.coalesce(F.greatest(*[F.col(f"before{i}x") == F.col(f"before{j}y") for i in (1, 2, 3) for j in (1, 2, 3)]), F.lit(False))
+        nx, ny, px, py = (F.col(c).cast("long") for c in ("nx", "ny", "posx", "posy"))
+        index = F.expr(f"posx < nx - cast(ceil({2 * percent} * nx / {100 + percent}) as int) + 1")
+        reach = (100 + percent) * F.least(nx - px, ny - py) >= percent * (nx + ny)
+        apart = sum(F.bit_count(F.col(c + "x").bitwiseXOR(F.col(c + "y"))) for c in SIGNS)
+        suffix = (100 + percent) * (nx + ny - apart) >= 2 * percent * (nx + ny)
+        near = x.join(y, "g").where((F.col("compx") != F.col("compy")) & ((nx < ny) | ((nx == ny) & (F.col("clsx") < F.col("clsy")))) & index & (100 * nx >= percent * ny) & reach & first & suffix)
+        links.append(_verify(keyed, classes, near.select(F.col("clsx").alias("a"), F.col("clsy").alias("b")).distinct(), k, percent, many))
     return docs_, classes, links
 
 
@@ -290,7 +301,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     docs_, classes, links = linked_classes(docs, k, percent)
     labelled = classes.select("cls", "rid", F.col("cls").alias("comp"))
     if links:
-        to = components(_union(links)).select(F.col("node").alias("cls"), F.col("comp").alias("__to"))
+        to = components(_union(links), nodes=docs_.count()).select(F.col("node").alias("cls"), F.col("comp").alias("__to"))
         labelled = labelled.join(to, "cls", "left").select("cls", "rid", F.coalesce("__to", "comp").alias("comp"))
     first = labelled.groupBy("comp").agg(F.min("rid").alias("component"))
     found = labelled.join(first, "comp").select("cls", "component")
