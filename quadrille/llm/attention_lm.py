@@ -37,11 +37,11 @@ from .compress_quality import fold
 from .packing import loaded
 
 #: Model: rows of the embedding, width, classes, window, subwords of context that a window repeats.
-ROWS, WIDTH, CLASSES, WINDOW, CONTEXT = 2048, 16, 128, 32, 8
+ROWS, WIDTH, CLASSES, WINDOW, CONTEXT = 2048, 16, 64, 32, 4
 #: Learning: one window from so many bytes, windows a step, rate.
-STRIDE_BYTES, BATCH, RATE = 1024, 16, 1e-2
+STRIDE_BYTES, BATCH, RATE = 2048, 16, 1e-2
 #: Windows scored at once; bytes of text that share a dictionary.
-SCORED_AT_ONCE, RUN_BYTES = 64, 32_000_000
+SCORED_AT_ONCE, RUN_BYTES = 32, 32_000_000
 END_WORD = np.uint64(0x5EED0FE2D)
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
@@ -69,26 +69,38 @@ class Attention:
         self.first, self.second, self.steps = np.zeros_like(self.flat), np.zeros_like(self.flat), 0
 
     def forward(self, x_rows: np.ndarray):
+        """All that the backward pass needs; attention weights are normalised."""
         p, d = self.at, WIDTH
         n, t = x_rows.shape
         x = p["e"][x_rows] + p["p"][:t]
-        qkv = (x.reshape(-1, d) @ p["w"]).reshape(n, t, 3 * d)
+        q, k, v, a, total = self._attend(x)
+        a /= total
+        o = a @ v
+        h = x + (o.reshape(-1, d) @ p["o"]).reshape(n, t, d)
+        return x, q, k, v, a, o, h, h.reshape(-1, d) @ p["u"] + p["c"]
+
+    def _attend(self, x: np.ndarray):
+        n, t, d = x.shape
+        qkv = (x.reshape(-1, d) @ self.at["w"]).reshape(n, t, 3 * d)
         q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
         a = (q * np.float32(d**-0.5)) @ k.transpose(0, 2, 1)
-        np.clip(a, -40, 40, out=a)
         a += _MASK[:t, :t]
+        np.minimum(a, 60, out=a)  # exp stays finite
         np.exp(a, out=a)
-        a /= a.sum(-1, keepdims=True)
-        o = a @ v
-        h = x + (o.reshape(-1, d) @ p["o"]).reshape(n, t, d)
-        return x, q, k, v, a, o, h, h.reshape(-1, d) @ p["u"] + p["c"]
+        return q, k, v, a, a.sum(-1, keepdims=True)
 
     def log_probs(self, x_rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the classes' probabilities, place by place."""
-        logits = self.forward(x_rows)[-1]
-        top = logits.max(1, keepdims=True)
-        logits -= top
-        picked = logits[np.arange(len(logits)), classes.ravel()]
+        """Natural logarithms of the classes' probabilities, place by place; as ``forward`` with fewer passes."""
+        p, d = self.at, WIDTH
+        x = p["e"][x_rows] + p["p"][: x_rows.shape[1]]
+        _, _, v, a, total = self._attend(x)
+        o = a @ v
+        o /= total
+        h = x.reshape(-1, d) + o.reshape(-1, d) @ p["o"]
+        logits = h @ p["u"]
+        logits += p["c"]
+        np.minimum(logits, 80, out=logits)
+        picked = logits.ravel()[np.arange(0, logits.size, logits.shape[1]) + classes.ravel()]
         np.exp(logits, out=logits)
         return (picked - np.log(logits.sum(1))).reshape(classes.shape)
 
