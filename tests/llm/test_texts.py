@@ -178,7 +178,7 @@ def test_packing(docs, spark, group):
         assert r.offset == fill.get(r.sequence_id, 0)
         fill[r.sequence_id] = r.offset + r.length
     assert max(fill.values()) <= 256
-    assert len(fill) <= math.ceil(sum(r.length for r in got) / 256) + (1 if group > 100 else 3)
+    assert len(fill) <= packing.lower_bound(np.array([r.length for r in got]), 256) + (2 if group > 100 else 4)
     assert packing.pack(packing.token_pieces(cases.empty(spark), path)).count() == 0
 
 
