@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, sliced
 
 RATE, FRAME, HOP, SPAN = 4000, 512, 256, 8
 #: Filters by rule: kind k mod 4 (above/below, before/after, both, middle), class and height from k.
@@ -134,7 +134,7 @@ def fingerprints(audio: DataFrame, id_col: str, samples_of) -> DataFrame:
     """(id, print): ``samples_of`` turns the values of column ``audio`` of a batch into arrays of samples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 64):  # samples are some hundred times their fingerprint
             prints = [(fingerprint(s) if s is not None else np.zeros(0, np.uint32)).astype("<u4").tobytes() for s in samples_of(b.column("audio"))]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(prints, pa.binary())], names=["id", "print"])
 
