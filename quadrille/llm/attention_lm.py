@@ -1,8 +1,9 @@
 """Language-model scores: a causal self-attention model in numpy over subword ids, beside a unigram base.
 
-Learning makes two passes over the training texts, both reading a window of subwords from every ``STRIDE_BYTES``
-of every text. The first counts the subwords: the frequent ones become classes of their own, the others share
-classes, and within a class a subword has its share of the counts. The second trains the model (embedding of
+The texts are encoded once and written with their ids. Learning makes two passes over the training texts. The first
+counts all their subwords: the frequent ones become classes of their own, the others share classes, and within a class
+a subword has its share of the counts. The second reads a window of subwords from every ``STRIDE_BYTES`` of every text
+and trains the model (embedding of
 hashed ids and of places, one attention layer, a linear layer to the classes) by Adam, each task on what it
 reads, from a common start; the tasks' parameters are averaged by their tokens. Both sums are taken in two
 steps, so that the driver meets one vector however many tasks there were.
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, texts_of, written
+from .common import partitions, sliced, texts_of, written
 from .compress_quality import fold
 from .packing import loaded
 
@@ -194,13 +195,27 @@ def _sum_vectors(parts: DataFrame, size: int) -> np.ndarray:
     return np.frombuffer(zlib.decompress(got[0].blob), "<f8") if got else np.zeros(size)
 
 
-def _count(path: str, end: int):
+ENCODED = "doc_id long, text binary, held_out boolean, ids binary"
+
+
+def _encode(path: str, end: int):
+    """The rows with the ids of their texts, the end included."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, total = loaded(path), np.zeros(end + 1)
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                for w in sample_windows(text, tok, end):
-                    np.add.at(total, w[1:], 1)
+        tok, last = loaded(path), np.array([end], "<u4").tobytes()
+        for b in sliced(batches):
+            ids = [zlib.compress(tok.encode(t) + last, 1) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "text", "held_out")), pa.array(ids, pa.binary())], names=["doc_id", "text", "held_out", "ids"])
+
+    return run
+
+
+def _count(end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(end + 1)
+        for b in sliced(batches):
+            if b.num_rows:
+                total += np.bincount(np.concatenate([_unpacked(x) for x in b.column("ids").to_pylist()]), minlength=end + 1)
         if total.any():
             yield _vector(total)
 
@@ -241,10 +256,10 @@ def _train(path: str, end: int, counts: np.ndarray):
 
 
 def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """(counts of subwords, parameters) from the rows (text)."""
-    counts = _sum_vectors(training.mapInArrow(_count(path, end), "salt int, blob binary"), end + 1)
+    """(counts of subwords, parameters) from the rows (text, ids)."""
+    counts = _sum_vectors(training.select("ids").mapInArrow(_count(end), "salt int, blob binary"), end + 1)
     start = initial(Classes(counts)).flat
-    total = _sum_vectors(training.mapInArrow(_train(path, end, counts), "salt int, blob binary"), len(start) + 1)
+    total = _sum_vectors(training.select("text").mapInArrow(_train(path, end, counts), "salt int, blob binary"), len(start) + 1)
     return counts, (total[:-1] / total[-1]).astype(np.float32) if total[-1] else start
 
 
@@ -256,8 +271,11 @@ class Scorer:
         self.tok, self.end, self.classes, self.model = loaded(path), end, Classes(counts), Attention(params)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 of each text's probability; windows of all texts share batches."""
-        out = np.zeros(len(texts))
+        return self.scores_of([np.append(np.frombuffer(self.tok.encode(t), "<u4"), self.end) for t in texts])
+
+    def scores_of(self, all_ids: list[np.ndarray]) -> np.ndarray:
+        """log10 of the probability of each text, given its ids; windows of all texts share batches."""
+        out = np.zeros(len(all_ids))
         xs, ys, marks, owner, waiting = [], [], [], [], 0
         step, places = WINDOW - CONTEXT, np.arange(WINDOW)
 
@@ -269,8 +287,8 @@ class Scorer:
                 np.add.at(out, who[j], (self.model.log_probs(x[j], y[j]) * m[j]).sum(1, dtype=np.float64))
             xs, ys, marks, owner, waiting = [], [], [], [], 0
 
-        for i, text in enumerate(texts):
-            ids = np.append(np.frombuffer(self.tok.encode(text), "<u4").astype(np.int64), self.end)
+        for i, ids in enumerate(all_ids):
+            ids = ids.astype(np.int64)
             n = len(ids)
             out[i] += self.classes.share[ids].sum()
             windows = 1 + max(0, -(-(n - WINDOW) // step))
@@ -338,7 +356,7 @@ def _score_and_list(path: str, end: int, counts: np.ndarray, params: np.ndarray)
             for at in range(0, b.num_rows, 256):
                 c = b.slice(at, 256)
                 texts = c.column("text").to_pylist()
-                for k, out, text, score in zip(c.column("doc_id").to_pylist(), c.column("held_out").to_pylist(), texts, scorer.scores(texts), strict=True):
+                for k, out, text, score in zip(c.column("doc_id").to_pylist(), c.column("held_out").to_pylist(), texts, scorer.scores_of([_unpacked(x) for x in c.column("ids").to_pylist()]), strict=True):
                     w = text.lower().split()
                     h = np.append(np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)), END_WORD)
                     held.append((k, out, float(score), *np.unique(h, return_counts=True)))
@@ -371,8 +389,9 @@ def text_scores(docs: DataFrame, path: str, folds: int = 7, held: int = 2) -> Da
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     end = loaded(path).tokenizer.get_vocab_size()
     marked = texts_of(docs, F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"))
-    counts, params = learn(marked.where(~F.col("held_out")).select("text"), path, end)
-    listed = written(marked.mapInArrow(_score_and_list(path, end, counts, params), RUN))
+    encoded = written(marked.mapInArrow(_encode(path, end), ENCODED))
+    counts, params = learn(encoded.where(~F.col("held_out")), path, end)
+    listed = written(encoded.mapInArrow(_score_and_list(path, end, counts, params), RUN))
     words = listed.where("word is not null").select("run", "word", "place", "count")
     by_word = Window.partitionBy("word")
     summed = written(words.select("run", "place", F.sum("count").over(by_word).alias("known"), (F.row_number().over(by_word.orderBy("run")) == 1).alias("first")))

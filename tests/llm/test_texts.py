@@ -269,3 +269,17 @@ def test_scores(docs, spark):
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
     assert all(r.score < 0 for r in got)
     assert attention_lm.text_scores(cases.empty(spark), P.path("word_bpe_49k.json")).count() == 0
+
+
+def encoded_rows(spark, texts):
+    path = P.path("word_bpe_49k.json")
+    end = packing.loaded(path).tokenizer.get_vocab_size()
+    docs = spark.createDataFrame([(i, t.encode(), False) for i, t in enumerate(texts)], "doc_id long, text binary, held_out boolean")
+    return docs.mapInArrow(attention_lm._encode(path, end), attention_lm.ENCODED), path, end
+
+
+def test_counts_cover_every_subword(spark):
+    texts = [cases.words(900, 31), "", "one two", cases.words(2000, 32)]
+    rows, path, end = encoded_rows(spark, texts)
+    want = np.bincount(np.concatenate([np.append(np.frombuffer(packing.loaded(path).encode(t.encode()), "<u4"), end) for t in texts]), minlength=end + 1)
+    assert (attention_lm.learn(rows, path, end)[0] == want).all()
