@@ -2,8 +2,8 @@
 
 The texts are encoded once and written with their ids. Learning makes two passes over the training texts. The first
 counts all their subwords: the frequent ones become classes of their own, the others share classes, and within a class
-a subword has its share of the counts. The second reads a window of subwords from every ``STRIDE_BYTES`` of every text
-and trains the model (embedding of
+a subword has its share of the counts. The second takes the subwords of every text in consecutive windows and
+trains the model (embedding of
 hashed ids and of places, one attention layer, a linear layer to the classes) by Adam, each task on what it
 reads, from a common start; the tasks' parameters are averaged by their tokens. Both sums are taken in two
 steps, so that the driver meets one vector however many tasks there were.
@@ -39,8 +39,8 @@ from .packing import loaded
 
 #: Model: rows of the embedding, width, classes, window, subwords of context that a window repeats.
 ROWS, WIDTH, CLASSES, WINDOW, CONTEXT = 2048, 16, 64, 32, 4
-#: Learning: one window from so many bytes, windows a step, rate.
-STRIDE_BYTES, BATCH, RATE = 2048, 16, 1e-2
+#: Learning: windows a step, rate.
+BATCH, RATE = 128, 1e-2
 #: Windows scored at once; bytes of text that share a dictionary.
 SCORED_AT_ONCE, RUN_BYTES = 32, 32_000_000
 END_WORD = np.uint64(0x5EED0FE2D)
@@ -125,7 +125,9 @@ class Attention:
         g["w"] = x.reshape(-1, d).T @ dqkv
         dx = dh + dqkv @ p["w"].T
         g["e"] = np.zeros(self.SHAPES["e"], np.float32)
-        np.add.at(g["e"], x_rows.ravel(), dx)
+        order = np.argsort(x_rows, axis=None, kind="stable")
+        met, first = np.unique(x_rows.ravel()[order], return_index=True)
+        g["e"][met] = np.add.reduceat(dx[order], first)
         g["p"] = np.zeros(self.SHAPES["p"], np.float32)
         g["p"][:t] = dx.reshape(n, t, d).sum(0)
         return np.concatenate([g[k].ravel() for k in self.SHAPES])
@@ -163,20 +165,18 @@ def initial(classes: Classes) -> Attention:
 # --- learning ------------------------------------------------------------------------------------------------
 
 
-def sample_windows(text: bytes, tok, end: int) -> list[np.ndarray]:
-    """A window of ids, preceded by the id before it (-1 at the start), from every ``STRIDE_BYTES`` of the text."""
-    words = text.split()
-    blocks = max(1, len(text) // STRIDE_BYTES)
-    out = []
-    for i in range(blocks):
-        lo, hi = len(words) * i // blocks, len(words) * (i + 1) // blocks
-        seen = xxhash.xxh3_64_intdigest(words[lo]) if lo < len(words) else 0
-        at = lo + seen % max(1, hi - lo)
-        ids = np.frombuffer(tok.encode(b" ".join(words[max(0, at - 1) : at + WINDOW])), "<u4").astype(np.int64)
-        if at + WINDOW >= len(words):
-            ids = np.append(ids, end)
-        out.append(np.concatenate([[-1], ids])[: WINDOW + 1] if at <= 1 else ids[: WINDOW + 1])
-    return [w for w in out if len(w) > 1]
+def windows_of(all_ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All of the texts' ids in consecutive windows: the ids before (-1 at the start), the ids, and which places are taken."""
+    lengths = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
+    room = -(-lengths // WINDOW) * WINDOW
+    begin = np.cumsum(room) - room
+    flat = np.concatenate(all_ids).astype(np.int64)
+    at = np.arange(len(flat)) + np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
+    before, ids, taken = np.zeros(room.sum(), np.int64), np.zeros(room.sum(), np.int64), np.zeros(room.sum(), np.float32)
+    ids[at], taken[at] = flat, 1
+    before[at[1:]] = flat[:-1]
+    before[begin] = -1
+    return before.reshape(-1, WINDOW), ids.reshape(-1, WINDOW), taken.reshape(-1, WINDOW)
 
 
 def _vector(v: np.ndarray) -> pa.RecordBatch:
@@ -222,33 +222,27 @@ def _count(end: int):
     return run
 
 
-def padded(windows: list[np.ndarray], classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Embedding rows, target classes and weights of windows of unequal length."""
-    n = len(windows)
-    lengths = np.fromiter(map(len, windows), np.int64, n) - 1
-    ids = np.zeros((n, WINDOW + 1), np.int64)
-    places = np.arange(WINDOW + 1)
-    ids[places <= lengths[:, None]] = np.concatenate(windows)
-    x = ids[:, :-1]
-    return np.where(x < 0, ROWS, rows_of(np.maximum(x, 0))), classes.of[np.maximum(ids[:, 1:], 0)], (places[:-1] < lengths[:, None]).astype(np.float32)
-
-
-def _train(path: str, end: int, counts: np.ndarray):
+def _train(end: int, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, classes, pending, tokens = loaded(path), Classes(counts), [], 0
+        classes, pending, tokens = Classes(counts), None, 0
         model = initial(classes)
+
+        def step(before: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> int:
+            model.step(model.gradient(np.where(before < 0, ROWS, rows_of(np.maximum(before, 0))), classes.of[ids], taken))
+            return int(taken.sum())
+
         for b in batches:
-            for text in b.column("text").to_pylist():
-                pending += sample_windows(text, tok, end)
-                while len(pending) >= BATCH:
-                    x, y, w = padded(pending[:BATCH], classes)
-                    del pending[:BATCH]
-                    model.step(model.gradient(x, y, w))
-                    tokens += int(w.sum())
-        if pending:
-            x, y, w = padded(pending, classes)
-            model.step(model.gradient(x, y, w))
-            tokens += int(w.sum())
+            for part in sliced([b]):
+                if not part.num_rows:
+                    continue
+                new = windows_of([_unpacked(x) for x in part.column("ids").to_pylist()])
+                pending = new if pending is None else tuple(np.concatenate(x) for x in zip(pending, new, strict=True))
+                full = len(pending[0]) // BATCH * BATCH
+                for i in range(0, full, BATCH):
+                    tokens += step(*(x[i : i + BATCH] for x in pending))
+                pending = tuple(x[full:] for x in pending)
+        if pending is not None and len(pending[0]):
+            tokens += step(*pending)
         if tokens:
             yield _vector(np.append(model.flat.astype(np.float64), 1.0) * tokens)
 
@@ -256,10 +250,10 @@ def _train(path: str, end: int, counts: np.ndarray):
 
 
 def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """(counts of subwords, parameters) from the rows (text, ids)."""
+    """(counts of subwords, parameters) from the rows (ids)."""
     counts = _sum_vectors(training.select("ids").mapInArrow(_count(end), "salt int, blob binary"), end + 1)
     start = initial(Classes(counts)).flat
-    total = _sum_vectors(training.select("text").mapInArrow(_train(path, end, counts), "salt int, blob binary"), len(start) + 1)
+    total = _sum_vectors(training.select("ids").mapInArrow(_train(end, counts), "salt int, blob binary"), len(start) + 1)
     return counts, (total[:-1] / total[-1]).astype(np.float32) if total[-1] else start
 
 

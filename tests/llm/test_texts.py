@@ -283,3 +283,18 @@ def test_counts_cover_every_subword(spark):
     rows, path, end = encoded_rows(spark, texts)
     want = np.bincount(np.concatenate([np.append(np.frombuffer(packing.loaded(path).encode(t.encode()), "<u4"), end) for t in texts]), minlength=end + 1)
     assert (attention_lm.learn(rows, path, end)[0] == want).all()
+
+
+def test_every_subword_trains(spark):
+    import pyarrow as pa
+
+    texts = [cases.words(900, 33), "", "one two", cases.words(31, 34), cases.words(2000, 35)]
+    rows, path, end = encoded_rows(spark, texts)
+    rows = rows.collect()
+    ids = [attention_lm._unpacked(bytes(r.ids)) for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes(r.ids) for r in rows], pa.binary())], names=["ids"])
+    (out,) = attention_lm._train(end, np.ones(end + 1))(iter([batch]))
+    assert np.frombuffer(zlib.decompress(out.column("blob")[0].as_py()), "<f8")[-1] == sum(map(len, ids))
+    before, after, taken = attention_lm.windows_of(ids)
+    assert after[taken > 0].tolist() == np.concatenate(ids).tolist()
+    assert before[taken > 0].tolist() == np.concatenate([np.append(-1, x[:-1].astype(int)) for x in ids]).tolist()
