@@ -2,10 +2,11 @@
 
 The texts are encoded once and written with their ids. Learning makes two passes over the training texts. The first
 counts all their subwords: the frequent ones become classes of their own, the others share classes, and within a class
-a subword has its share of the counts. The second takes the subwords of every text in consecutive windows and
+a subword begins with its share of the counts. The second takes the subwords of every text in consecutive windows and
 trains the model (embedding of
-hashed ids and of places, one attention layer, a linear layer to the classes) by Adam, each task on what it
-reads, from a common start; the tasks' parameters are averaged by their tokens. Both sums are taken in two
+hashed ids and of places, one attention layer, a linear layer to the classes) by Adam, and a vector for each subword
+of a shared class by Adagrad, so that a second softmax tells the subwords of a class apart by what stands before;
+each task on what it reads, from a common start; the tasks' parameters are averaged by their tokens. Both sums are taken in two
 steps, so that the driver meets one vector however many tasks there were.
 
 Scoring cuts a text into overlapping windows; each subword is scored once, with at least ``CONTEXT`` subwords
@@ -38,9 +39,11 @@ from .compress_quality import fold
 from .packing import loaded
 
 #: Model: rows of the embedding, width, classes, window, subwords of context that a window repeats.
-ROWS, WIDTH, CLASSES, WINDOW, CONTEXT = 2048, 16, 64, 32, 4
-#: Learning: windows a step, rate.
-BATCH, RATE = 128, 1e-2
+ROWS, WIDTH, CLASSES, WINDOW, CONTEXT = 2048, 16, 256, 32, 16
+#: Learning: windows a step, rate of the model, rate of the subwords' vectors.
+BATCH, RATE, WORD_RATE = 128, 1e-2, 1e-1
+#: Classes of a single subword.
+OWN = CLASSES // 2
 #: Windows scored at once; bytes of text that share a dictionary.
 SCORED_AT_ONCE, RUN_BYTES = 32, 32_000_000
 END_WORD = np.uint64(0x5EED0FE2D)
@@ -61,7 +64,7 @@ class Attention:
         if flat is None:
             rng = np.random.default_rng(seed)
             flat = np.concatenate([rng.normal(0, 0.0 if k == "c" else 0.1, s).ravel() for k, s in self.SHAPES.items()])
-        self.flat = flat.astype(np.float32)
+        self.flat = flat.astype(np.float32)[: sum(int(np.prod(s)) for s in self.SHAPES.values())]
         self.at, begin = {}, 0
         for k, s in self.SHAPES.items():
             size = int(np.prod(s))
@@ -92,20 +95,27 @@ class Attention:
 
     def log_probs(self, x_rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Natural logarithms of the classes' probabilities, place by place; as ``forward`` with fewer passes."""
+        return self.class_log_probs(self.hidden(x_rows), classes.ravel()).reshape(classes.shape)
+
+    def hidden(self, x_rows: np.ndarray) -> np.ndarray:
+        """What the classes and subwords are told from, a row for each place."""
         p, d = self.at, WIDTH
         x = p["e"][x_rows] + p["p"][: x_rows.shape[1]]
         _, _, v, a, total = self._attend(x)
         o = a @ v
         o /= total
-        h = x.reshape(-1, d) + o.reshape(-1, d) @ p["o"]
-        logits = h @ p["u"]
-        logits += p["c"]
+        return x.reshape(-1, d) + o.reshape(-1, d) @ p["o"]
+
+    def class_log_probs(self, h: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        logits = h @ self.at["u"]
+        logits += self.at["c"]
         np.minimum(logits, 80, out=logits)
-        picked = logits.ravel()[np.arange(0, logits.size, logits.shape[1]) + classes.ravel()]
+        picked = logits.ravel()[np.arange(0, logits.size, logits.shape[1]) + classes]
         np.exp(logits, out=logits)
-        return (picked - np.log(logits.sum(1))).reshape(classes.shape)
+        return picked - np.log(logits.sum(1))
 
-    def gradient(self, x_rows: np.ndarray, classes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    def gradient(self, x_rows: np.ndarray, classes: np.ndarray, weight: np.ndarray, within=None) -> np.ndarray:
+        """``within`` gives from the hidden rows the gradient of a further term by them, not yet divided by the weight."""
         p, d = self.at, WIDTH
         x, q, k, v, a, o, h, logits = self.forward(x_rows)
         n, t = x_rows.shape
@@ -117,6 +127,8 @@ class Attention:
         flat_h, flat_o = h.reshape(-1, d), o.reshape(-1, d)
         g = {"u": flat_h.T @ logits, "c": logits.sum(0)}
         dh = logits @ p["u"].T
+        if within is not None:
+            dh += within(flat_h) / max(weight.sum(), 1)
         g["o"] = flat_o.T @ dh
         do = (dh @ p["o"].T).reshape(n, t, d)
         da = do @ v.transpose(0, 2, 1)
@@ -147,14 +159,70 @@ class Classes:
         n = len(counts)
         order = np.argsort(-counts, kind="stable")
         self.of = np.empty(n, np.int64)
-        own = CLASSES // 2
-        self.of[order[:own]] = np.arange(own)
-        self.of[order[own:]] = own + np.arange(n - own) % (CLASSES - own)
+        self.of[order[:OWN]] = np.arange(OWN)
+        self.of[order[OWN:]] = OWN + np.arange(n - OWN) % (CLASSES - OWN)
+        self.slot = np.zeros(n, np.int64)
+        self.slot[order[OWN:]] = np.arange(n - OWN) // (CLASSES - OWN)
         smooth = counts + 0.1
         self.prior = np.log(np.bincount(self.of, smooth, CLASSES) / smooth.sum())
         self.share = np.log(smooth / np.bincount(self.of, smooth, CLASSES)[self.of])
 
 
+class Subwords:
+    """The softmax over the subwords of each shared class: their shares as the bias, a vector for each that begins at 0."""
+
+    def __init__(self, classes: Classes, flat: np.ndarray | None = None):
+        self.of, self.slot = classes.of, classes.slot
+        shared = np.flatnonzero(self.of >= OWN)
+        shape = (CLASSES - OWN, int(self.slot.max()) + 1)
+        self.bias = np.full(shape, -1e9, np.float32)
+        self.bias[self.of[shared] - OWN, self.slot[shared]] = classes.share[shared]
+        self.v = np.zeros((*shape, WIDTH), np.float32) if flat is None else flat.astype(np.float32).reshape(*shape, WIDTH)
+        self.sums = np.ones((*shape, 1), np.float32)
+
+    def _groups(self, ids: np.ndarray, taken: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Shared classes and the places of their subwords."""
+        at = np.flatnonzero(taken & (self.of[ids] >= OWN))
+        at = at[np.argsort(self.of[ids[at]], kind="stable")]
+        met, first = np.unique(self.of[ids[at]], return_index=True)
+        return zip((met - OWN).tolist(), np.split(at, first[1:]), strict=False)
+
+    def _softmax(self, k: int, h: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities in class k, and the logarithms of those asked for."""
+        z = h @ self.v[k].T
+        z += self.bias[k]
+        np.minimum(z, 80, out=z)
+        picked = z[np.arange(len(z)), slots]
+        np.exp(z, out=z)
+        total = z.sum(1)
+        z /= total[:, None]
+        return z, picked - np.log(total)
+
+    def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the subwords' probabilities in their classes."""
+        out = np.zeros(len(ids), np.float32)
+        for k, at in self._groups(ids, np.ones(len(ids), bool)):
+            out[at] = self._softmax(k, h[at], self.slot[ids[at]])[1]
+        return out
+
+    def gradients(self, h: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """By class: its number, the places, the gradients by their hidden rows and by the class's vectors."""
+        for k, at in self._groups(ids, taken):
+            slots = self.slot[ids[at]]
+            z, _ = self._softmax(k, h[at], slots)
+            z[np.arange(len(z)), slots] -= 1
+            yield k, at, z @ self.v[k], z.T @ h[at]
+
+    def step(self, h: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> np.ndarray:
+        """Moves the vectors; gives the gradient by the hidden rows before that."""
+        out = np.zeros_like(h)
+        for k, at, dh, dv in self.gradients(h, ids, taken):
+            out[at] = dh
+            self.sums[k] += (dv * dv).mean(1, keepdims=True)
+            self.v[k] -= np.float32(WORD_RATE) * dv / np.sqrt(self.sums[k])
+        return out
+
+
 def initial(classes: Classes) -> Attention:
     """The common start: small random weights, the classes' frequencies as the bias."""
     model = Attention()
@@ -181,7 +249,7 @@ def windows_of(all_ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def _vector(v: np.ndarray) -> pa.RecordBatch:
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
-    return pa.RecordBatch.from_arrays([pa.array([part % 64], pa.int32()), pa.array([zlib.compress(v.astype("<f8").tobytes(), 1)], pa.binary())], names=["salt", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array([part % 16], pa.int32()), pa.array([zlib.compress(v.astype("<f8").tobytes(), 1)], pa.binary())], names=["salt", "blob"])
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -225,10 +293,11 @@ def _count(end: int):
 def _train(end: int, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, pending, tokens = Classes(counts), None, 0
-        model = initial(classes)
+        model, subwords = initial(classes), Subwords(classes)
 
         def step(before: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> int:
-            model.step(model.gradient(np.where(before < 0, ROWS, rows_of(np.maximum(before, 0))), classes.of[ids], taken))
+            within = lambda h: subwords.step(h, ids.ravel(), taken.ravel() > 0)
+            model.step(model.gradient(np.where(before < 0, ROWS, rows_of(np.maximum(before, 0))), classes.of[ids], taken, within))
             return int(taken.sum())
 
         for b in batches:
@@ -244,7 +313,7 @@ def _train(end: int, counts: np.ndarray):
         if pending is not None and len(pending[0]):
             tokens += step(*pending)
         if tokens:
-            yield _vector(np.append(model.flat.astype(np.float64), 1.0) * tokens)
+            yield _vector(np.concatenate([model.flat, subwords.v.ravel(), [1.0]]) * tokens)
 
     return run
 
@@ -252,7 +321,8 @@ def _train(end: int, counts: np.ndarray):
 def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
     """(counts of subwords, parameters) from the rows (ids)."""
     counts = _sum_vectors(training.select("ids").mapInArrow(_count(end), "salt int, blob binary"), end + 1)
-    start = initial(Classes(counts)).flat
+    classes = Classes(counts)
+    start = np.concatenate([initial(classes).flat, Subwords(classes).v.ravel()])
     total = _sum_vectors(training.select("ids").mapInArrow(_train(end, counts), "salt int, blob binary"), len(start) + 1)
     return counts, (total[:-1] / total[-1]).astype(np.float32) if total[-1] else start
 
@@ -263,6 +333,8 @@ def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndar
 class Scorer:
     def __init__(self, path: str, end: int, counts: np.ndarray, params: np.ndarray):
         self.tok, self.end, self.classes, self.model = loaded(path), end, Classes(counts), Attention(params)
+        own = len(self.model.flat)
+        self.subwords = Subwords(self.classes, params[own:] if len(params) > own else None)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return self.scores_of([np.append(np.frombuffer(self.tok.encode(t), "<u4"), self.end) for t in texts])
@@ -276,21 +348,24 @@ class Scorer:
         def flush() -> None:
             nonlocal xs, ys, marks, owner, waiting
             x, y, m, who = np.concatenate(xs), np.concatenate(ys), np.concatenate(marks), np.concatenate(owner)
-            for i in range(0, len(x), SCORED_AT_ONCE):
-                j = slice(i, i + SCORED_AT_ONCE)
-                np.add.at(out, who[j], (self.model.log_probs(x[j], y[j]) * m[j]).sum(1, dtype=np.float64))
+            ids, who = y[m], np.repeat(who, m.sum(1))
+            h = np.concatenate([self.model.hidden(x[i : i + SCORED_AT_ONCE])[m[i : i + SCORED_AT_ONCE].ravel()] for i in range(0, len(x), SCORED_AT_ONCE)])
+            logs = self.subwords.log_probs(h, ids).astype(np.float64)
+            for i in range(0, len(h), SCORED_AT_ONCE * WINDOW):
+                j = slice(i, i + SCORED_AT_ONCE * WINDOW)
+                logs[j] += self.model.class_log_probs(h[j], self.classes.of[ids[j]])
+            out[:] += np.bincount(who, logs, len(out))
             xs, ys, marks, owner, waiting = [], [], [], [], 0
 
         for i, ids in enumerate(all_ids):
             ids = ids.astype(np.int64)
             n = len(ids)
-            out[i] += self.classes.share[ids].sum()
             windows = 1 + max(0, -(-(n - WINDOW) // step))
             room = (windows - 1) * step + WINDOW
             rows = np.full(room, ROWS)
             rows[1:n] = rows_of(ids[:-1])
             targets = np.zeros(room, np.int64)
-            targets[:n] = self.classes.of[ids]
+            targets[:n] = ids
             at = np.arange(windows)[:, None] * step + places
             mark = (at < n) & ((places >= CONTEXT) | (at < WINDOW) & (np.arange(windows)[:, None] == 0))
             xs.append(rows[at])

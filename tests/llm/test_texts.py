@@ -298,3 +298,67 @@ def test_every_subword_trains(spark):
     before, after, taken = attention_lm.windows_of(ids)
     assert after[taken > 0].tolist() == np.concatenate(ids).tolist()
     assert before[taken > 0].tolist() == np.concatenate([np.append(-1, x[:-1].astype(int)) for x in ids]).tolist()
+
+
+def subwords_of_many():
+    r = np.random.default_rng(5)
+    classes = attention_lm.Classes(r.integers(0, 50, 3000).astype(float))
+    sub = attention_lm.Subwords(classes)
+    return r, classes, sub
+
+
+def test_subwords_begin_with_their_shares_and_are_normalised():
+    r, classes, sub = subwords_of_many()
+    h = r.normal(size=(3000, attention_lm.WIDTH)).astype(np.float32)
+    shared = classes.of >= attention_lm.OWN
+    assert np.allclose(sub.log_probs(h, np.arange(3000)), np.where(shared, classes.share, 0), atol=1e-4)
+    sub.v[:] = r.normal(size=sub.v.shape)
+    same = np.repeat(h[:1], 3000, 0)
+    total = np.bincount(classes.of, np.exp(sub.log_probs(same, np.arange(3000)).astype(float)), attention_lm.CLASSES)
+    assert np.allclose(total, 1, atol=1e-3)
+    assert not np.allclose(sub.log_probs(h, np.arange(3000))[shared], sub.log_probs(same, np.arange(3000))[shared], atol=1e-2)
+
+
+def test_gradient_of_subwords():
+    r, classes, sub = subwords_of_many()
+    sub.v[:] = r.normal(0, 0.3, sub.v.shape)
+    h, ids = r.normal(size=(40, attention_lm.WIDTH)).astype(np.float32), r.integers(0, 3000, 40)
+    loss = lambda: -sub.log_probs(h, ids).sum(dtype=np.float64)
+    for k, at, dh, dv in list(sub.gradients(h, ids, np.ones(40, bool)))[:3]:
+        for x, i, g in ((h, (at[0], 3), dh[0, 3]), (sub.v, (k, sub.slot[ids[at[0]]], 2), dv[sub.slot[ids[at[0]]], 2])):
+            was = x[i]
+            x[i] = was + 1e-2
+            up = loss()
+            x[i] = was - 1e-2
+            down = loss()
+            x[i] = was
+            assert abs((up - down) / 2e-2 - g) < 1e-2
+
+
+def test_context_tells_subwords_of_a_class_apart():
+    """Two rare subwords of one class, each after a cue of its own: after learning, a text that keeps to that is likelier."""
+    import pyarrow as pa
+
+    assert 2 * attention_lm.CONTEXT >= attention_lm.WINDOW
+    path = P.path("word_bpe_49k.json")
+    end = packing.loaded(path).tokenizer.get_vocab_size()
+    counts = np.ones(end + 1)
+    counts[:300] = 100
+    classes = attention_lm.Classes(counts)
+    a, b = np.flatnonzero(classes.of == attention_lm.CLASSES - 1)[-2:]
+    assert classes.share[a] == classes.share[b]
+    r = np.random.default_rng(8)
+
+    def text(turned):
+        parts = [[*r.integers(2, 300, 4), i, (a, b)[i ^ turned]] for i in r.integers(0, 2, 200)]
+        return np.append(np.array(parts).ravel(), end)
+
+    batch = pa.RecordBatch.from_arrays([pa.array([attention_lm._packed(text(0)) for _ in range(200)], pa.binary())], names=["ids"])
+    (out,) = attention_lm._train(end, counts)(iter([batch]))
+    total = np.frombuffer(zlib.decompress(out.column("blob")[0].as_py()), "<f8")
+    scorer = attention_lm.Scorer(path, end, counts, total[:-1] / total[-1])
+    r = np.random.default_rng(9)
+    right = text(0)
+    r = np.random.default_rng(9)
+    good, bad = scorer.scores_of([right, text(1)])
+    assert good > bad + 20
