@@ -6,7 +6,8 @@ to two bits (Gray code), so that a frame becomes one 32-bit integer. Two recordi
 most equal integers vote for; the share of different bits over the overlap says whether they match.
 
 Cases: null or short audio (under ``SPAN`` frames) has an empty fingerprint and matches nothing; equal
-fingerprints are one class, compared once; ties go to the smallest id; an empty table gives no rows.
+fingerprints are one class, compared once, and a class is named by its fingerprint's SHA-256; ids may repeat or be
+null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -145,34 +146,53 @@ def _matched(block: QueryBlock):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for k, n, p in zip(*(b.column(c).to_pylist() for c in ("id", "copies", "print")), strict=True):
+            for k, n, p in zip(*(b.column(c).to_pylist() for c in ("class", "copies", "print")), strict=True):
                 rows += [(key, k, n, offset, wrong) for key, offset, wrong in block.matches(np.frombuffer(p, "<u4"))]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)], names=["query", "id", "copies", "offset", "wrong"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.float64()), strict=True)], names=["class", "match", "n_copies", "offset", "wrong"])
 
     return run
 
 
-def aligned(prints: DataFrame, every: int = 50) -> DataFrame:
-    """For each row whose id is divisible by ``every``: the recordings that match it (itself left out), over all rows.
+def _classed(prints: DataFrame) -> DataFrame:
+    """(id, print, class): the class names the fingerprint; null for an empty one."""
+    return checkpointed(prints.withColumn("class", F.when(F.length("print") > 0, F.sha2("print", 256))))
 
-    query, n_frames, n_matches, best_id, best_offset, best_wrong. The queries go in blocks of ``QUERY_BLOCK``.
-    """
-    kept = checkpointed(prints)
-    classes = checkpointed(kept.where(F.length("print") > 0).groupBy("print").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.min(F.when(F.col("id") % every != 0, F.col("id"))).alias("other"), F.max((F.col("id") % every == 0)).alias("asked")))
-    asked = classes.where("asked").select("id", "print", F.xxhash64("print").alias("h"))
+
+def _aligned(kept: DataFrame, every: int) -> DataFrame:
+    asks = F.coalesce(F.col("id") % every == 0, F.lit(False))
+    classes = checkpointed(kept.where("class is not null").groupBy("class").agg(F.first("print").alias("print"), F.count("*").alias("copies"), F.max(asks).alias("asked")))
+    asked = classes.where("asked").select("class", "print", F.xxhash64("class").alias("h"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     found = None
     for i in range(blocks):
         part = asked.where(F.pmod("h", F.lit(blocks)) == i).collect()  # about QUERY_BLOCK rows
-        block = QueryBlock([r.id for r in part], [np.frombuffer(bytes(r.print), "<u4") for r in part])
-        met = classes.select("id", "copies", "print").mapInArrow(_matched(block), "query long, id long, copies long, offset int, wrong double")
-        met = met.where("query <> id").groupBy("query").agg(F.sum("copies").alias("others"), F.min(F.struct("wrong", "id", "offset")).alias("best"))
+        block = QueryBlock([r["class"] for r in part], [np.frombuffer(bytes(r.print), "<u4") for r in part])
+        met = classes.select("class", "copies", "print").mapInArrow(_matched(block), "class string, match string, n_copies long, offset int, wrong double")
         found = met if found is None else found.unionByName(met)
-    ask = kept.where(F.col("id") % every == 0).select("id", "print").join(classes.select("print", F.col("id").alias("class"), "copies"), "print", "left")
-    out = ask.join(found, F.col("class") == F.col("query"), "left")
-    copies = F.coalesce(F.col("copies") - 1, F.lit(0))
-    return out.select(F.col("id").alias("query"), (F.length("print") / 4).cast("long").alias("n_frames"), (copies + F.coalesce("others", F.lit(0))).alias("n_matches"), F.col("best.id").alias("best_id"), F.col("best.offset").alias("best_offset"), F.col("best.wrong").alias("best_wrong"), copies.alias("n_equal"))
+    own = classes.where("asked and copies > 1").select("class", F.col("class").alias("match"), (F.col("copies") - 1).alias("n_copies"), F.lit(0).alias("offset"), F.lit(0.0).alias("wrong"))
+    found = checkpointed(found.where("class <> match").unionByName(own))
+    totals = found.groupBy("class").agg(F.sum("n_copies").alias("n_matches"), F.sum(F.when(F.col("class") == F.col("match"), F.col("n_copies"))).alias("n_equal"))
+    ask = kept.where(asks).select(F.col("id").alias("query"), (F.length("print") / 4).cast("long").alias("n_frames"), "class")
+    out = ask.join(totals, "class", "left").join(found, "class", "left")
+    return out.select("query", "n_frames", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_matches", "n_equal")], "class", "match", "n_copies", "offset", "wrong")
+
+
+def aligned(prints: DataFrame, every: int = 50) -> DataFrame:
+    """For each row whose id is divisible by ``every``: the recordings that match it (itself left out), over all rows.
+
+    One row for each query and class of equal fingerprints that it matches: query, n_frames, n_matches, n_equal, class,
+    match, n_copies, offset, wrong. Its own class is one of them where other rows share it; a query without a match has
+    one row without ``match``. ``n_matches`` counts the recordings of all classes, ``n_equal`` those of its own. The
+    queries go in blocks of ``QUERY_BLOCK``.
+    """
+    return _aligned(_classed(prints), every)
+
+
+def aligned_with_members(prints: DataFrame, every: int = 50) -> DataFrame:
+    """The rows of ``aligned`` with a null id, and one row (id, class) for every recording: who is in the classes."""
+    kept = _classed(prints)
+    return _aligned(kept, every).unionByName(kept.select("id", "class"), allowMissingColumns=True)
 
 
 def melody(vector: list[float] | None) -> np.ndarray | None:

@@ -24,9 +24,9 @@ def op1_compression_quality(spark, sf_dir):
 
 
 def op2_chroma_fingerprints(spark, sf_dir):
-    """Recordings that stand for the vectors of ``embeddings``, fingerprinted; every fiftieth aligned with all."""
+    """Recordings that stand for the vectors of ``embeddings``, fingerprinted; every fiftieth aligned with all, and who is in which class."""
     audio = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("audio"))
-    return chroma.aligned(chroma.fingerprints(audio, "vec_id", chroma.melodies))
+    return chroma.aligned_with_members(chroma.fingerprints(audio, "vec_id", chroma.melodies))
 
 
 def op3_attention_lm(spark, sf_dir, vocabulary: str = "word_bpe_49k.json"):

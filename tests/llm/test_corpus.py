@@ -225,6 +225,36 @@ def test_alignment_over_rows(spark):
     assert chroma.aligned(chroma.fingerprints(df.limit(0), "vec_id", chroma.melodies)).count() == 0
 
 
+def test_every_match_is_given(spark):
+    """Exact copies, near copies and null ids: the rows and the members give what a search of all pairs does."""
+    near = lambda e: (np.array(vector(1)) + e).tolist()
+    rows = [(0, vector(1)), (7, vector(1)), (8, near(1e-4)), (9, near(3e-2)), (50, near(1e-4)), (100, vector(3)), (101, vector(3)), (150, vector(4)), (200, None), (None, near(2e-2))]
+    df = spark.createDataFrame(rows, "vec_id long, audio array<double>")
+    out = chroma.aligned_with_members(chroma.fingerprints(df, "vec_id", chroma.melodies)).collect()
+    prints = [chroma.fingerprint(chroma.melody(v)) if v else np.zeros(0, np.uint32) for _, v in rows]
+    want = Counter()
+    for i, (q, _) in enumerate(rows):
+        if q is None or q % 50 or not len(prints[i]):
+            continue
+        for j, (k, _) in enumerate(rows):
+            if i != j:
+                want.update((q, k, offset, wrong) for _, offset, wrong in chroma.QueryBlock([q], [prints[i]]).matches(prints[j]))
+    members, got = defaultdict(list), Counter()
+    for r in out:
+        if r.query is None:
+            members[r["class"]].append(r.id)
+    for r in out:
+        if r.query is not None and r.match:
+            others = list(members[r.match])
+            if r.match == r["class"]:
+                others.remove(r.query)
+            assert len(others) == r.n_copies
+            got.update((r.query, k, r.offset, r.wrong) for k in others)
+    assert got == want and want[(100, 101, 0, 0.0)] == 1 and len({k for q, k, _, _ in want if q == 0}) > 2
+    assert {r.query: r.n_matches for r in out if r.query is not None} == {q: sum(n for w, n in want.items() if w[0] == q) for q in (0, 50, 100, 150, 200)}
+    assert sum(map(len, members.values())) == len(rows)
+
+
 # --- the pipeline -------------------------------------------------------------------------------------------------
 
 
