@@ -3,7 +3,8 @@
 Where a pattern matches is found from what lies between the matches: ``split`` gives the pieces and
 ``regexp_extract_all`` the matches, and the running sum of their lengths the places, in code points.
 
-The candidates of the method are runs of token characters with a digit among them. A window slides over each;
+The candidates of the method are runs of token characters with a digit among them. Parts of a path that look like words, and segments that
+are a placeholder's word, are left out of what is measured. A window slides over each;
 its counts by character are kept in an array, one step adds a character and takes one away, and with them
 changes the sum of c * log2(c) that fixes the Shannon entropy. A window of the class's size and entropy makes
 the candidate a span, unless the allow-list knows it or a base span overlaps it.
@@ -47,6 +48,13 @@ ALLOWED = (
     "^/?[A-Za-z0-9_-]*(/[A-Za-z0-9_-]*){2,}$",
     "^[A-Za-z]+([-_=][A-Za-z]+)*[-_=]?[0-9]{1,4}$",
 )
+NUMBERS, UUID, PLACEHOLDER, PATH, NAMED = ALLOWED
+#: A word or a short number: lower case, capitals, or humps of both, at most 16 letters each, with up to four digits.
+_WORD = "(?:[A-Z]?[a-z]{2,16}(?:[A-Z][a-z]{1,15})*|[A-Z]{2,16}|[A-Za-z])?[0-9]{0,4}"
+#: Parts of a path that look like words, with their slash.
+WORDLIKE_PART = f"(?<![^/]){_WORD}(?:[_-]{_WORD})*(?:/|$)"
+#: Segments that are a placeholder's word and nothing else.
+PLACEHOLDER_SEGMENT = "(?i)(?<![^/_=-])(?:abcdefgh|12345678|example|sample|placeholder|changeme|dummy|redacted|x{4,})(?:[/_=-]|$)"
 #: c * log2(c) is kept in millionths, so that counts alone decide.
 MILLION = 1_000_000
 
@@ -100,14 +108,24 @@ def lowest_sum(token: Column, alphabet: str, window: int) -> Column:
     return F.when(F.length(token) >= window, F.aggregate(F.sequence(F.lit(1), F.length(token)), start, step, lambda acc: acc["least"]))
 
 
+def measured(token: Column) -> Column:
+    """What of a candidate can be a secret, or null: not the placeholders' segments, and of a path not the wordlike parts."""
+    bare = F.regexp_replace(token, PLACEHOLDER_SEGMENT, "")
+    value = F.regexp_replace(bare, "^.*=(?=[^=])", "")
+    left = F.when(~token.rlike(PLACEHOLDER), token).when(~bare.rlike(PLACEHOLDER), bare).when(~value.rlike(PLACEHOLDER), value)
+    return F.when(left.rlike(PATH), F.regexp_replace(left, WORDLIKE_PART, "")).otherwise(left)
+
+
+def _reaches(token: Column, alphabet: str, window: int, bits: float) -> Column:
+    return F.coalesce(lowest_sum(token, alphabet, window) <= most_allowed(window, bits), F.lit(False))
+
+
 def is_secret(token: Column) -> Column:
-    """Whether a candidate has a window of its class's entropy and no entry in the allow-list."""
+    """Whether what is measured of a candidate has a window of its class's entropy and no entry in the allow-list."""
     found = F.lit(False)
     for _, shape, alphabet, window, bits in reversed(CLASSES):
-        found = F.when(token.rlike(shape), F.coalesce(lowest_sum(token, alphabet, window) <= most_allowed(window, bits), F.lit(False))).otherwise(found)
-    for pattern in ALLOWED:
-        found = F.when(token.rlike(pattern), False).otherwise(found)
-    return found
+        found = F.when(token.rlike(shape), _reaches(token, alphabet, window, bits)).otherwise(found)
+    return F.when(token.isNull() | token.rlike(NUMBERS) | token.rlike(UUID) | token.rlike(NAMED), False).otherwise(found)
 
 
 def _long_enough(least: int):
@@ -133,7 +151,9 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("__base", F.array_sort(F.concat("__assign", "__access", "__hex")))
     out = out.withColumn("__candidates", _placed(F.col("__text"), CANDIDATE, 0))
     clear = lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    out = out.withColumn("__entropy", _kinded(F.filter("__candidates", lambda s: clear(s) & is_secret(s["what"])), "entropy"))
+    # each step is a value of the next array: inside the window's loop an expression would be computed for every character
+    part = F.transform(F.filter("__candidates", clear), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), measured(s["what"]).alias("token")))
+    out = out.withColumn("__entropy", _kinded(F.filter(part, lambda s: is_secret(s["token"])), "entropy"))
     return out.withColumn("__spans", F.array_sort(F.concat("__base", "__entropy"))).drop("__text", "__candidates")
 
 

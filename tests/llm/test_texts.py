@@ -136,6 +136,30 @@ def test_secrets(docs, spark):
     assert secret_scan.redacted(cases.empty(spark)).columns == cases.empty(spark).columns
 
 
+PATHS_AND_PLACEHOLDERS = [
+    ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYzRt5Qm8WvN2", True),
+    ("sample/KEY=wJalrXUtnFEMIK7MDENGbPxRfiCYzRt5Qm8WvN2", True),
+    ("example-Zq3R8tLw0XyP5vKb7NcA9", True),
+    ("MySampleKey=Zq3R8tLw0XyP5vKb7NcA9", True),
+    ("Zq3R8tLw0XyP5vKb7NcA9=sample", True),
+    ("home/user/project/src2/Main/DocumentReader3", False),
+    ("/usr/share/doc/python3/examples/Lib", False),
+    ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", False),
+    ("users/550e8400-e29b-41d4-a716-446655440000/files", False),
+    ("2024/01/02/Report_2024_final", False),
+    ("xxxx-XXXX-xxxx-XXXX-1234", False),
+]
+
+
+def entropy_found(spark, tokens):
+    rows = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(tokens)], "doc_id long, text string")
+    return [r.n_entropy == 1 and r.spans == f"entropy:4:{4 + len(tokens[r.doc_id])}" for r in secret_scan.secret_spans(rows).orderBy("doc_id").collect()]
+
+
+def test_paths_and_placeholders_do_not_hide_secrets(spark):
+    assert entropy_found(spark, [t for t, _ in PATHS_AND_PLACEHOLDERS]) == [x for _, x in PATHS_AND_PLACEHOLDERS]
+
+
 # --- packing ------------------------------------------------------------------------------------------------------
 
 
