@@ -3,8 +3,9 @@
 Where a pattern matches is found from what lies between the matches: ``split`` gives the pieces and
 ``regexp_extract_all`` the matches, and the running sum of their lengths the places, in code points.
 
-The candidates of the method are runs of token characters with a digit among them. Parts of a path that look like words, and segments that
-are a placeholder's word, are left out of what is measured. A window slides over each;
+The candidates of the method are runs of token characters. Parts of a path that look like words, and segments that
+are a placeholder's word, are left out of what is measured; runs of one case or without a digit are measured without
+their wordlike segments and against classes of their own. A window slides over each;
 its counts by character are kept in an array, one step adds a character and takes one away, and with them
 changes the sum of c * log2(c) that fixes the Shannon entropy. A window of the class's size and entropy makes
 the candidate a span, unless the allow-list knows it or a base span overlaps it.
@@ -33,8 +34,8 @@ BASE = (
     ("access", "AKIA[A-Z0-9]+", 0, 16),
     ("hex", "(?<![0-9a-f])[0-9a-f]{32,}", 0, 32),
 )
-#: Candidates: a whole run of at least 20 token characters, one of them a digit.
-CANDIDATE = "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+#: Candidates: a whole run of at least 20 token characters.
+CANDIDATE = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 #: By character class: what the whole candidate must match, the alphabet, the window, the least bits a character.
 CLASSES = (
     ("hex", "^[0-9a-fA-F]+$", "0123456789abcdefABCDEF", 20, 3.0),
@@ -48,11 +49,19 @@ ALLOWED = (
     "^/?[A-Za-z0-9_-]*(/[A-Za-z0-9_-]*){2,}$",
     "^[A-Za-z]+([-_=][A-Za-z]+)*[-_=]?[0-9]{1,4}$",
 )
+#: As CLASSES, for what those leave out, by what it holds; the SQL knows only CLASSES.
+MORE_CLASSES = (
+    ("base36", "^(?=.*[a-z])(?=.*[0-9])[^A-Z]+$", "abcdefghijklmnopqrstuvwxyz0123456789+/_=-", 20, 3.6),
+    ("base32", "^(?=.*[A-Z])(?=.*[0-9])[^a-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-", 20, 3.6),
+    ("one case", "^(?:[^0-9A-Z]+|[^0-9a-z]+)$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-", 20, 3.6),
+    ("letters", "^[^0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-", 20, 3.75),
+)
 NUMBERS, UUID, PLACEHOLDER, PATH, NAMED = ALLOWED
 #: A word or a short number: lower case, capitals, or humps of both, at most 16 letters each, with up to four digits.
 _WORD = "(?:[A-Z]?[a-z]{2,16}(?:[A-Z][a-z]{1,15})*|[A-Z]{2,16}|[A-Za-z])?[0-9]{0,4}"
-#: Parts of a path that look like words, with their slash.
+#: Parts of a path that look like words, with their slash; the same for segments between any separators.
 WORDLIKE_PART = f"(?<![^/]){_WORD}(?:[_-]{_WORD})*(?:/|$)"
+WORDLIKE_SEGMENT = f"(?<![^/_=+-]){_WORD}(?:[/_=+-]|$)"
 #: Segments that are a placeholder's word and nothing else.
 PLACEHOLDER_SEGMENT = "(?i)(?<![^/_=-])(?:abcdefgh|12345678|example|sample|placeholder|changeme|dummy|redacted|x{4,})(?:[/_=-]|$)"
 #: c * log2(c) is kept in millionths, so that counts alone decide.
@@ -120,12 +129,19 @@ def _reaches(token: Column, alphabet: str, window: int, bits: float) -> Column:
     return F.coalesce(lowest_sum(token, alphabet, window) <= most_allowed(window, bits), F.lit(False))
 
 
-def is_secret(token: Column) -> Column:
-    """Whether what is measured of a candidate has a window of its class's entropy and no entry in the allow-list."""
+def is_secret(token: Column, unworded: Column) -> Column:
+    """Whether what is measured of a candidate has a window of its class's entropy and no entry in the allow-list.
+
+    ``unworded`` is the same without its wordlike segments. Plain words with a number go to the further classes.
+    """
     found = F.lit(False)
+    for _, shape, alphabet, window, bits in reversed(MORE_CLASSES):
+        found = F.when(unworded.rlike(shape), _reaches(unworded, alphabet, window, bits)).otherwise(found)
+    letters = MORE_CLASSES[-1][2:]
+    found = F.when(token.rlike(NAMED), _reaches(unworded, *letters)).otherwise(found)
     for _, shape, alphabet, window, bits in reversed(CLASSES):
-        found = F.when(token.rlike(shape), _reaches(token, alphabet, window, bits)).otherwise(found)
-    return F.when(token.isNull() | token.rlike(NUMBERS) | token.rlike(UUID) | token.rlike(NAMED), False).otherwise(found)
+        found = F.when(token.rlike(shape) & token.rlike("[0-9]") & ~token.rlike(NAMED), _reaches(token, alphabet, window, bits)).otherwise(found)
+    return F.when(token.isNull() | token.rlike(NUMBERS) | token.rlike(UUID), False).otherwise(found)
 
 
 def _long_enough(least: int):
@@ -153,7 +169,8 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     clear = lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     # each step is a value of the next array: inside the window's loop an expression would be computed for every character
     part = F.transform(F.filter("__candidates", clear), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), measured(s["what"]).alias("token")))
-    out = out.withColumn("__entropy", _kinded(F.filter(part, lambda s: is_secret(s["token"])), "entropy"))
+    part = F.transform(part, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["token"].alias("token"), F.regexp_replace(s["token"], WORDLIKE_SEGMENT, "").alias("unworded")))
+    out = out.withColumn("__entropy", _kinded(F.filter(part, lambda s: is_secret(s["token"], s["unworded"])), "entropy"))
     return out.withColumn("__spans", F.array_sort(F.concat("__base", "__entropy"))).drop("__text", "__candidates")
 
 

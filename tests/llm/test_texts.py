@@ -160,6 +160,12 @@ def test_paths_and_placeholders_do_not_hide_secrets(spark):
     assert entropy_found(spark, [t for t, _ in PATHS_AND_PLACEHOLDERS]) == [x for _, x in PATHS_AND_PLACEHOLDERS]
 
 
+def test_every_candidate_is_measured_against_a_class(spark):
+    seeds = ["q8z3k1v0x7m5w2j9t4r6y1p8b3n0d7f5g2h9c4l6", "JBSWY3DPEHPK3PXPZ7QWKN2MX5TVRUGA", "qzxkvjwpyhfmbtgdnrlcsaueoi", "QZXKVJWPYHFMBTGDNRLCSAUEOI", "qZxKvJwPyHfMbTgDnRlCsAuEoI"]
+    words = ["getUserAuthenticationTokenProvider", "document_name_2024_final", "erberbeeinheitkeiter", "Einungtzheitgeungverlich", "internationalization_of_names", "x" * 40, "_" * 40, "very-long-name-of-a-branch-12"]
+    assert entropy_found(spark, seeds + words) == [True] * len(seeds) + [False] * len(words)
+
+
 # --- packing ------------------------------------------------------------------------------------------------------
 
 
