@@ -46,14 +46,15 @@ class ChunkTokenizer:
 
     The six ASCII white space characters are separators for its pre-tokenizer, so a text's ids are those of its
     chunks, one after the other. Chunks met before are looked up. A new one in plain letters goes to the
-    tokenizer's model piece by piece; any other goes through the whole tokenizer.
+    tokenizer's model piece by piece; any other, and one that holds an added token's string, goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE).search
         self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -69,7 +70,7 @@ class ChunkTokenizer:
 
     def _learn(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
-        if _PLAIN(text):
+        if _PLAIN(text) and not self.added(text):
             seen = self.pieces.get
             ids = b"".join([seen(p) or self._piece(p) for p in _PIECES(text.lower())])
         else:

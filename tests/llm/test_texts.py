@@ -176,6 +176,16 @@ def test_chunk_tokenizer_is_the_tokenizer():
         assert np.frombuffer(tok.encode(t.encode()), "<u4").tolist() == tok.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_added_tokens_are_as_the_tokenizer_has_them():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    whole, tok = Tokenizer.from_file(path), packing.loaded(path)
+    for t in ["<|endoftext|>", "a<|endoftext|>b <|startoftext|> c", "x <|ENDOFTEXT|>y", " <|endoftext|>\n<|endoftext|>é", "<|endoftext|", "the <|startoftext|>The"]:
+        assert np.frombuffer(tok.encode(t.encode()), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
+    assert np.frombuffer(tok.encode(b"<|endoftext|>"), "<u4").tolist() == [49407]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=60))
 def test_best_fit(lengths):
