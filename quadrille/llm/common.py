@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -56,15 +58,20 @@ def _arrow(kind: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}[kind]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in spark.checkpoint.dir, with its lineage cut.
-
-    The cluster's setting is read from the session; only where none is set (tests, a laptop) does a
-    temporary folder stand in.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors see; a temporary one only in a local session without it."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as a checkpoint, with its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -73,13 +80,12 @@ def partitions(spark: SparkSession) -> int:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """As ``checkpointed``, but as Parquet, which takes less room for columns that compress."""
-    import uuid
+    """As ``checkpointed``, but as Parquet, which takes less room for columns that compress.
 
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    path = f"{sc._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}.parquet"
+    The optimizer starts anew on what is read; of a checkpoint it keeps the constraints inferred before, whose number
+    explodes where a loop joins a table with itself.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
