@@ -1,13 +1,10 @@
 """Language-model scores: a causal self-attention model in numpy over subword ids, beside a unigram base.
 
 The texts are encoded once and written with their ids. Learning makes two passes over the training texts. The first
-counts all their subwords: the frequent ones become classes of their own, the others share classes, and within a class
-a subword begins with its share of the counts. The second takes the subwords of every text in consecutive windows and
-trains the model (embedding of
-hashed ids and of places, one attention layer, a linear layer to the classes) by Adam, and a vector for each subword
-of a shared class by Adagrad, so that a second softmax tells the subwords of a class apart by what stands before;
-each task on what it reads, from a common start; the tasks' parameters are averaged by their tokens. Both sums are taken in two
-steps, so that the driver meets one vector however many tasks there were.
+counts all their subwords, which fixes a Huffman tree over the whole vocabulary. The second takes the subwords of every
+text in consecutive windows and trains the model (embedding of hashed ids and of places, one attention layer) by Adam
+and the tree's vectors by Adagrad; each task on what it reads, from a common start; the tasks' parameters are averaged
+by their tokens. Both sums are taken in two steps, so that the driver meets one vector however many tasks there were.
 
 Scoring cuts a text into overlapping windows; each subword is scored once, with at least ``CONTEXT`` subwords
 before it in its window unless the text begins there. Windows go through the model in batches, with masked
@@ -38,14 +35,14 @@ from .common import partitions, sliced, texts_of, written
 from .compress_quality import fold
 from .packing import loaded
 
-#: Model: rows of the embedding, width, classes, window, subwords of context that a window repeats.
-ROWS, WIDTH, CLASSES, WINDOW, CONTEXT = 2048, 16, 256, 32, 16
-#: Learning: windows a step, rate of the model, rate of the subwords' vectors.
-BATCH, RATE, WORD_RATE = 128, 1e-2, 1e-1
-#: Classes of a single subword.
-OWN = CLASSES // 2
-#: Windows scored at once; bytes of text that share a dictionary.
-SCORED_AT_ONCE, RUN_BYTES = 32, 32_000_000
+#: Model: rows of the embedding, width, window, subwords of context that a window repeats.
+ROWS, WIDTH, WINDOW, CONTEXT = 2048, 16, 32, 16
+#: Learning: windows a step, rate of the attention layer, rate of the tree's vectors.
+BATCH, RATE, NODE_RATE = 128, 1e-2, 1e-1
+#: Added to every count, so that each subword has a leaf of the tree.
+SMOOTH = 0.1
+#: Windows scored at once; places of a step whose paths are held at once; bytes of text that share a dictionary.
+SCORED_AT_ONCE, AT_ONCE, RUN_BYTES = 32, 1024, 32_000_000
 END_WORD = np.uint64(0x5EED0FE2D)
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
@@ -56,15 +53,16 @@ def rows_of(ids: np.ndarray) -> np.ndarray:
 
 
 class Attention:
-    """One causal self-attention layer between an embedding and a softmax over classes."""
+    """One causal self-attention layer on an embedding; its hidden rows are what the next subword is told from."""
 
-    SHAPES = {"e": (ROWS + 1, WIDTH), "p": (WINDOW, WIDTH), "w": (WIDTH, 3 * WIDTH), "o": (WIDTH, WIDTH), "u": (WIDTH, CLASSES), "c": (CLASSES,)}
+    SHAPES = {"e": (ROWS + 1, WIDTH), "p": (WINDOW, WIDTH), "w": (WIDTH, 3 * WIDTH), "o": (WIDTH, WIDTH)}
+    SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
     def __init__(self, flat: np.ndarray | None = None, seed: int = 7):
         if flat is None:
             rng = np.random.default_rng(seed)
-            flat = np.concatenate([rng.normal(0, 0.0 if k == "c" else 0.1, s).ravel() for k, s in self.SHAPES.items()])
-        self.flat = flat.astype(np.float32)[: sum(int(np.prod(s)) for s in self.SHAPES.values())]
+            flat = np.concatenate([rng.normal(0, 0.1, s).ravel() for s in self.SHAPES.values()])
+        self.flat = flat.astype(np.float32)[: self.SIZE]
         self.at, begin = {}, 0
         for k, s in self.SHAPES.items():
             size = int(np.prod(s))
@@ -72,17 +70,6 @@ class Attention:
             begin += size
         self.first, self.second, self.steps = np.zeros_like(self.flat), np.zeros_like(self.flat), 0
 
-    def forward(self, x_rows: np.ndarray):
-        """All that the backward pass needs; attention weights are normalised."""
-        p, d = self.at, WIDTH
-        n, t = x_rows.shape
-        x = p["e"][x_rows] + p["p"][:t]
-        q, k, v, a, total = self._attend(x)
-        a /= total
-        o = a @ v
-        h = x + (o.reshape(-1, d) @ p["o"]).reshape(n, t, d)
-        return x, q, k, v, a, o, h, h.reshape(-1, d) @ p["u"] + p["c"]
-
     def _attend(self, x: np.ndarray):
         n, t, d = x.shape
         qkv = (x.reshape(-1, d) @ self.at["w"]).reshape(n, t, 3 * d)
@@ -93,53 +80,34 @@ class Attention:
         np.exp(a, out=a)
         return q, k, v, a, a.sum(-1, keepdims=True)
 
-    def log_probs(self, x_rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the classes' probabilities, place by place; as ``forward`` with fewer passes."""
-        return self.class_log_probs(self.hidden(x_rows), classes.ravel()).reshape(classes.shape)
-
     def hidden(self, x_rows: np.ndarray) -> np.ndarray:
-        """What the classes and subwords are told from, a row for each place."""
-        p, d = self.at, WIDTH
-        x = p["e"][x_rows] + p["p"][: x_rows.shape[1]]
+        """The hidden rows, one for each place."""
+        x = self.at["e"][x_rows] + self.at["p"][: x_rows.shape[1]]
         _, _, v, a, total = self._attend(x)
         o = a @ v
         o /= total
-        return x.reshape(-1, d) + o.reshape(-1, d) @ p["o"]
-
-    def class_log_probs(self, h: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        logits = h @ self.at["u"]
-        logits += self.at["c"]
-        np.minimum(logits, 80, out=logits)
-        picked = logits.ravel()[np.arange(0, logits.size, logits.shape[1]) + classes]
-        np.exp(logits, out=logits)
-        return picked - np.log(logits.sum(1))
-
-    def gradient(self, x_rows: np.ndarray, classes: np.ndarray, weight: np.ndarray, within=None) -> np.ndarray:
-        """``within`` gives from the hidden rows the gradient of a further term by them, not yet divided by the weight."""
+        return x.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ self.at["o"]
+
+    def gradient(self, x_rows: np.ndarray, gradient_of) -> np.ndarray:
+        """``gradient_of`` gives from the hidden rows the loss's gradient by them; this goes on to the parameters."""
         p, d = self.at, WIDTH
-        x, q, k, v, a, o, h, logits = self.forward(x_rows)
         n, t = x_rows.shape
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        logits[np.arange(n * t), classes.ravel()] -= 1
-        logits *= (weight.ravel() / max(weight.sum(), 1))[:, None]
-        flat_h, flat_o = h.reshape(-1, d), o.reshape(-1, d)
-        g = {"u": flat_h.T @ logits, "c": logits.sum(0)}
-        dh = logits @ p["u"].T
-        if within is not None:
-            dh += within(flat_h) / max(weight.sum(), 1)
-        g["o"] = flat_o.T @ dh
+        x = p["e"][x_rows] + p["p"][:t]
+        q, k, v, a, total = self._attend(x)
+        a /= total
+        o = a @ v
+        dh = gradient_of(x.reshape(-1, d) + o.reshape(-1, d) @ p["o"])
+        g = {"o": o.reshape(-1, d).T @ dh}
         do = (dh @ p["o"].T).reshape(n, t, d)
-        da = do @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(d**-0.5)
+        ds = do @ v.transpose(0, 2, 1)
+        ds -= (do * o).sum(-1, keepdims=True)
+        ds *= a
+        ds *= np.float32(d**-0.5)
         dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do], -1).reshape(-1, 3 * d)
         g["w"] = x.reshape(-1, d).T @ dqkv
         dx = dh + dqkv @ p["w"].T
         g["e"] = np.zeros(self.SHAPES["e"], np.float32)
-        order = np.argsort(x_rows, axis=None, kind="stable")
-        met, first = np.unique(x_rows.ravel()[order], return_index=True)
-        g["e"][met] = np.add.reduceat(dx[order], first)
+        met, g["e"][met] = _summed_by(x_rows.ravel(), dx)
         g["p"] = np.zeros(self.SHAPES["p"], np.float32)
         g["p"][:t] = dx.reshape(n, t, d).sum(0)
         return np.concatenate([g[k].ravel() for k in self.SHAPES])
@@ -152,84 +120,126 @@ class Attention:
         self.flat -= lift * self.first / (np.sqrt(self.second) + np.float32(1e-7))
 
 
-class Classes:
-    """The class of every subword and its share there, from counts; the id after the last is the end."""
-
-    def __init__(self, counts: np.ndarray):
+def _summed_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (below 2 ** 16) and the sums of their rows."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    ordered = keys[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    return ordered[first], np.add.reduceat(rows[order], first)
+
+
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parent, weight) of the nodes of a Huffman tree: leaves first, then inner nodes, the root last; ties by number."""
+    n = len(counts)
+    weight = np.concatenate([counts.astype(float) + SMOOTH, np.zeros(n - 1)])
+    parent = np.zeros(2 * n - 1, np.int64)
+    leaves, at = np.argsort(weight[:n], kind="stable").tolist(), 0
+    w, inner = weight.tolist(), n
+    for new in range(n, 2 * n - 1):  # inner nodes are made in order of weight: two queues do
+        for _ in (0, 1):
+            if at < n and (inner == new or w[leaves[at]] <= w[inner]):
+                k, at = leaves[at], at + 1
+            else:
+                k, inner = inner, inner + 1
+            parent[k] = new
+            w[new] += w[k]
+    return parent, np.array(w)
+
+
+class Tree:
+    """The softmax over all subwords as yes-no questions down a Huffman tree.
+
+    Each inner node has a vector and a bias; the chance of its first child is the logistic function of their sum with
+    the hidden row. The biases begin as the counts have it and the vectors at 0, so the tree begins as the unigram
+    model. A subword asks about as many questions as its share has bits, so frequent ones are cheap.
+    """
+
+    def __init__(self, counts: np.ndarray, flat: np.ndarray | None = None):
+        parent, weight = huffman(counts)
         n = len(counts)
-        order = np.argsort(-counts, kind="stable")
-        self.of = np.empty(n, np.int64)
-        self.of[order[:OWN]] = np.arange(OWN)
-        self.of[order[OWN:]] = OWN + np.arange(n - OWN) % (CLASSES - OWN)
-        self.slot = np.zeros(n, np.int64)
-        self.slot[order[OWN:]] = np.arange(n - OWN) // (CLASSES - OWN)
-        smooth = counts + 0.1
-        self.prior = np.log(np.bincount(self.of, smooth, CLASSES) / smooth.sum())
-        self.share = np.log(smooth / np.bincount(self.of, smooth, CLASSES)[self.of])
-
-
-class Subwords:
-    """The softmax over the subwords of each shared class: their shares as the bias, a vector for each that begins at 0."""
-
-    def __init__(self, classes: Classes, flat: np.ndarray | None = None):
-        self.of, self.slot = classes.of, classes.slot
-        shared = np.flatnonzero(self.of >= OWN)
-        shape = (CLASSES - OWN, int(self.slot.max()) + 1)
-        self.bias = np.full(shape, -1e9, np.float32)
-        self.bias[self.of[shared] - OWN, self.slot[shared]] = classes.share[shared]
-        self.v = np.zeros((*shape, WIDTH), np.float32) if flat is None else flat.astype(np.float32).reshape(*shape, WIDTH)
-        self.sums = np.ones((*shape, 1), np.float32)
-
-    def _groups(self, ids: np.ndarray, taken: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Shared classes and the places of their subwords."""
-        at = np.flatnonzero(taken & (self.of[ids] >= OWN))
-        at = at[np.argsort(self.of[ids[at]], kind="stable")]
-        met, first = np.unique(self.of[ids[at]], return_index=True)
-        return zip((met - OWN).tolist(), np.split(at, first[1:]), strict=False)
-
-    def _softmax(self, k: int, h: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities in class k, and the logarithms of those asked for."""
-        z = h @ self.v[k].T
-        z += self.bias[k]
-        np.minimum(z, 80, out=z)
-        picked = z[np.arange(len(z)), slots]
-        np.exp(z, out=z)
-        total = z.sum(1)
-        z /= total[:, None]
-        return z, picked - np.log(total)
+        top = len(weight) - 1
+        second = np.zeros(len(weight), bool)
+        inner = np.arange(n, top + 1)
+        child = np.full(top + 1, -1)
+        child[parent[:top][::-1]] = np.arange(top)[::-1]  # the first child is the lower one
+        second[:top] = child[parent[:top]] != np.arange(top)
+        share = weight[child[inner]] / weight[inner]
+        self.bias = np.log(share / (1 - share)).astype(np.float32)
+        up, nodes, signs, owners = np.arange(n), [], [], []
+        who = np.arange(n)
+        while len(up):
+            keep = up != top
+            up, who = up[keep], who[keep]
+            nodes.append(parent[up] - n)
+            signs.append(np.where(second[up], -1, 1))
+            owners.append(who)
+            up = parent[up]
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        self.nodes, self.signs = np.concatenate(nodes)[order], np.concatenate(signs)[order].astype(np.float32)
+        self.length = np.bincount(owner, minlength=n)
+        self.begin = np.cumsum(self.length) - self.length
+        self.v = np.zeros((n - 1, WIDTH), np.float32)
+        if flat is not None:
+            self.v[:] = flat[: self.v.size].reshape(self.v.shape)
+            self.bias[:] = flat[self.v.size : self.v.size + n - 1]
+        self.sums = np.ones((n - 1, 1), np.float32)
+
+    @property
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.v.ravel(), self.bias])
+
+    def _asked(self, h: np.ndarray, ids: np.ndarray):
+        """The questions of all ids in order: where an id's begin, how many it has, nodes, signs, vectors, what they sum to."""
+        length = self.length[ids]
+        first = np.cumsum(length) - length
+        at = np.repeat(self.begin[ids] - first, length)
+        at += np.arange(len(at))
+        nodes = self.nodes[at]
+        vectors = self.v[nodes]
+        z = np.einsum("ij,ij->i", vectors, np.repeat(h, length, 0))
+        z += self.bias[nodes]
+        signs = self.signs[at]
+        z *= signs
+        return first, length, nodes, signs, vectors, z
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the subwords' probabilities in their classes."""
+        """Natural logarithms of the probabilities of the ids."""
         out = np.zeros(len(ids), np.float32)
-        for k, at in self._groups(ids, np.ones(len(ids), bool)):
-            out[at] = self._softmax(k, h[at], self.slot[ids[at]])[1]
+        for i in range(0, len(ids), AT_ONCE):
+            first, *_, z = self._asked(h[i : i + AT_ONCE], ids[i : i + AT_ONCE])
+            np.negative(z, out=z)
+            np.minimum(z, 80, out=z)
+            np.exp(z, out=z)
+            out[i : i + AT_ONCE] = -np.add.reduceat(np.log1p(z, out=z), first)
         return out
 
-    def gradients(self, h: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """By class: its number, the places, the gradients by their hidden rows and by the class's vectors."""
-        for k, at in self._groups(ids, taken):
-            slots = self.slot[ids[at]]
-            z, _ = self._softmax(k, h[at], slots)
-            z[np.arange(len(z)), slots] -= 1
-            yield k, at, z @ self.v[k], z.T @ h[at]
-
-    def step(self, h: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> np.ndarray:
-        """Moves the vectors; gives the gradient by the hidden rows before that."""
-        out = np.zeros_like(h)
-        for k, at, dh, dv in self.gradients(h, ids, taken):
-            out[at] = dh
-            self.sums[k] += (dv * dv).mean(1, keepdims=True)
-            self.v[k] -= np.float32(WORD_RATE) * dv / np.sqrt(self.sums[k])
+    def gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The gradient by the hidden rows; the nodes met and the gradient by their vectors and biases."""
+        first, length, nodes, signs, vectors, z = self._asked(h, ids)
+        np.minimum(z, 80, out=z)
+        np.exp(z, out=z)
+        z += 1
+        by_sum = -signs / z
+        vectors *= by_sum[:, None]
+        rows = np.empty((len(z), WIDTH + 1), np.float32)
+        rows[:, :WIDTH] = np.repeat(h, length, 0)
+        rows[:, WIDTH] = 1
+        rows *= by_sum[:, None]
+        return np.add.reduceat(vectors, first), *_summed_by(nodes, rows)
+
+    def step(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Moves the vectors and biases of the nodes met; gives the gradient by the hidden rows before that."""
+        out = np.empty_like(h)
+        for i in range(0, len(ids), AT_ONCE):
+            out[i : i + AT_ONCE], met, g = self.gradients(h[i : i + AT_ONCE], ids[i : i + AT_ONCE])
+            self.sums[met] += (g * g).mean(1, keepdims=True)
+            g *= np.float32(NODE_RATE) / np.sqrt(self.sums[met])
+            self.v[met] -= g[:, :WIDTH]
+            self.bias[met] -= g[:, WIDTH]
         return out
 
 
-def initial(classes: Classes) -> Attention:
-    """The common start: small random weights, the classes' frequencies as the bias."""
-    model = Attention()
-    model.at["c"][:] = classes.prior
-    return model
-
-
 # --- learning ------------------------------------------------------------------------------------------------
 
 
@@ -290,15 +300,21 @@ def _count(end: int):
     return run
 
 
-def _train(end: int, counts: np.ndarray):
+def _train(counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, pending, tokens = Classes(counts), None, 0
-        model, subwords = initial(classes), Subwords(classes)
+        model, tree, pending, tokens = Attention(), Tree(counts), None, 0
 
         def step(before: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> int:
-            within = lambda h: subwords.step(h, ids.ravel(), taken.ravel() > 0)
-            model.step(model.gradient(np.where(before < 0, ROWS, rows_of(np.maximum(before, 0))), classes.of[ids], taken, within))
-            return int(taken.sum())
+            at = np.flatnonzero(taken)
+
+            def gradient_of(h: np.ndarray) -> np.ndarray:
+                out = np.zeros_like(h)
+                out[at] = tree.step(h[at], ids.ravel()[at])
+                out /= len(at)
+                return out
+
+            model.step(model.gradient(np.where(before < 0, ROWS, rows_of(np.maximum(before, 0))), gradient_of))
+            return len(at)
 
         for b in batches:
             for part in sliced([b]):
@@ -313,7 +329,7 @@ def _train(end: int, counts: np.ndarray):
         if pending is not None and len(pending[0]):
             tokens += step(*pending)
         if tokens:
-            yield _vector(np.concatenate([model.flat, subwords.v.ravel(), [1.0]]) * tokens)
+            yield _vector(np.concatenate([model.flat, tree.flat, [1.0]]) * tokens)
 
     return run
 
@@ -321,9 +337,8 @@ def _train(end: int, counts: np.ndarray):
 def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
     """(counts of subwords, parameters) from the rows (ids)."""
     counts = _sum_vectors(training.select("ids").mapInArrow(_count(end), "salt int, blob binary"), end + 1)
-    classes = Classes(counts)
-    start = np.concatenate([initial(classes).flat, Subwords(classes).v.ravel()])
-    total = _sum_vectors(training.select("ids").mapInArrow(_train(end, counts), "salt int, blob binary"), len(start) + 1)
+    start = np.concatenate([Attention().flat, Tree(counts).flat])
+    total = _sum_vectors(training.select("ids").mapInArrow(_train(counts), "salt int, blob binary"), len(start) + 1)
     return counts, (total[:-1] / total[-1]).astype(np.float32) if total[-1] else start
 
 
@@ -332,9 +347,8 @@ def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndar
 
 class Scorer:
     def __init__(self, path: str, end: int, counts: np.ndarray, params: np.ndarray):
-        self.tok, self.end, self.classes, self.model = loaded(path), end, Classes(counts), Attention(params)
-        own = len(self.model.flat)
-        self.subwords = Subwords(self.classes, params[own:] if len(params) > own else None)
+        self.tok, self.end, self.model = loaded(path), end, Attention(params)
+        self.tree = Tree(counts, params[Attention.SIZE :] if len(params) > Attention.SIZE else None)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return self.scores_of([np.append(np.frombuffer(self.tok.encode(t), "<u4"), self.end) for t in texts])
@@ -350,10 +364,7 @@ class Scorer:
             x, y, m, who = np.concatenate(xs), np.concatenate(ys), np.concatenate(marks), np.concatenate(owner)
             ids, who = y[m], np.repeat(who, m.sum(1))
             h = np.concatenate([self.model.hidden(x[i : i + SCORED_AT_ONCE])[m[i : i + SCORED_AT_ONCE].ravel()] for i in range(0, len(x), SCORED_AT_ONCE)])
-            logs = self.subwords.log_probs(h, ids).astype(np.float64)
-            for i in range(0, len(h), SCORED_AT_ONCE * WINDOW):
-                j = slice(i, i + SCORED_AT_ONCE * WINDOW)
-                logs[j] += self.model.class_log_probs(h[j], self.classes.of[ids[j]])
+            logs = self.tree.log_probs(h, ids).astype(np.float64)
             out[:] += np.bincount(who, logs, len(out))
             xs, ys, marks, owner, waiting = [], [], [], [], 0
 

@@ -253,46 +253,94 @@ def test_quality_without_classes(spark):
 # --- the language model -------------------------------------------------------------------------------------------
 
 
+def small_tree(n=300):
+    r = np.random.default_rng(5)
+    tree = attention_lm.Tree(r.integers(0, 50, n).astype(float))
+    tree.v[:] = r.normal(0, 0.3, tree.v.shape)
+    return r, tree
+
+
+def loss_of(model, tree, x, ids):
+    return -tree.log_probs(model.hidden(x), ids).sum(dtype=np.float64)
+
+
 def test_gradient():
-    r = np.random.default_rng(0)
+    r, tree = small_tree()
     m = attention_lm.Attention()
-    x, y = r.integers(0, attention_lm.ROWS, (3, attention_lm.WINDOW)), r.integers(0, attention_lm.CLASSES, (3, attention_lm.WINDOW))
-    g = m.gradient(x, y, np.ones((3, attention_lm.WINDOW), np.float32))
-    for i in np.argsort(-np.abs(g))[[0, 5, 50, 500]]:
-        at = m.flat[i]
-        m.flat[i] = at + 1e-2
-        up = -m.log_probs(x, y).mean()
-        m.flat[i] = at - 1e-2
-        down = -m.log_probs(x, y).mean()
-        m.flat[i] = at
-        assert abs((up - down) / 2e-2 - g[i]) < 1e-3 + 0.05 * abs(g[i])
+    x, ids = r.integers(0, attention_lm.ROWS, (3, attention_lm.WINDOW)), r.integers(0, 300, 3 * attention_lm.WINDOW)
+    g = m.gradient(x, lambda h: tree.gradients(h, ids)[0])
+    begin = 0
+    for shape in m.SHAPES.values():  # the largest of each part
+        size = int(np.prod(shape))
+        for i in begin + np.argsort(-np.abs(g[begin : begin + size]))[[0, 5]]:
+            at = m.flat[i]
+            m.flat[i] = at + 1e-2
+            up = loss_of(m, tree, x, ids)
+            m.flat[i] = at - 1e-2
+            down = loss_of(m, tree, x, ids)
+            m.flat[i] = at
+            assert abs((up - down) / 2e-2 - g[i]) < 1e-2 + 0.05 * abs(g[i])
+        begin += size
 
 
 def test_causal_and_normalised():
-    r = np.random.default_rng(1)
+    r, tree = small_tree()
     m = attention_lm.Attention()
     x = r.integers(0, attention_lm.ROWS, (1, attention_lm.WINDOW))
-    total = sum(np.exp(m.log_probs(x, np.full(x.shape, c))) for c in range(attention_lm.CLASSES))
+    h = m.hidden(x)
+    total = sum(np.exp(tree.log_probs(h, np.full(len(h), c)).astype(float)) for c in range(300))
     assert np.allclose(total, 1, atol=1e-4)
     z = x.copy()
     z[0, 20:] = 0
-    y = np.zeros(x.shape, int)
-    assert np.allclose(m.log_probs(x, y)[0, :20], m.log_probs(z, y)[0, :20], atol=1e-6)
+    assert np.allclose(h[:20], m.hidden(z)[:20], atol=1e-6) and not np.allclose(h[20:], m.hidden(z)[20:], atol=1e-3)
+
+
+def test_tree_begins_as_the_unigram_model_and_is_short():
+    counts = np.random.default_rng(2).zipf(1.3, 2000).clip(0, 10**6).astype(float)
+    counts[7] = 0
+    tree = attention_lm.Tree(counts)
+    share = (counts + attention_lm.SMOOTH) / (counts + attention_lm.SMOOTH).sum()
+    h = np.random.default_rng(3).normal(size=(2000, attention_lm.WIDTH)).astype(np.float32)
+    assert np.allclose(tree.log_probs(h, np.arange(2000)), np.log(share), atol=1e-3)
+    entropy = -(share * np.log2(share)).sum()
+    assert entropy <= (share * tree.length).sum() < entropy + 1
+    assert not len(attention_lm.Tree(counts).log_probs(h[:0], np.arange(0)))
 
 
 def test_windows_score_each_token_once():
-    """With attention switched off a token's score doesn't depend on its window: the sum must be the plain one."""
+    """With vectors at 0 a token's score doesn't depend on its window: the sum must be the plain one."""
     end = packing.loaded(P.path("word_bpe_49k.json")).tokenizer.get_vocab_size()
-    counts = np.ones(end + 1)
-    classes = attention_lm.Classes(counts)
-    m = attention_lm.initial(classes)
-    m.at["u"][:] = 0
-    s = attention_lm.Scorer(P.path("word_bpe_49k.json"), end, counts, m.flat)
+    counts = np.random.default_rng(4).integers(0, 9, end + 1).astype(float)
+    s = attention_lm.Scorer(P.path("word_bpe_49k.json"), end, counts, attention_lm.Attention().flat)
+    share = (counts + attention_lm.SMOOTH) / (counts + attention_lm.SMOOTH).sum()
     texts = [(r[1] or "").encode() for r in cases.rows()]
     got = s.scores(texts)
     for t, x in zip(texts, got, strict=True):
         ids = np.append(np.frombuffer(s.tok.encode(t), "<u4").astype(int), end)
-        assert math.isclose(x, (classes.prior[classes.of[ids]] + classes.share[ids]).sum() / math.log(10), rel_tol=1e-4)
+        assert math.isclose(x, np.log10(share[ids]).sum(), rel_tol=1e-4)
+
+
+def test_scores_are_those_of_plain_windows():
+    """Window by window in plain numpy: each token with the whole of its window before it, at least CONTEXT subwords."""
+    end = packing.loaded(P.path("word_bpe_49k.json")).tokenizer.get_vocab_size()
+    r = np.random.default_rng(6)
+    counts = r.integers(0, 9, end + 1).astype(float)
+    tree = attention_lm.Tree(counts)
+    tree.v[:] = r.normal(0, 0.2, tree.v.shape)
+    m = attention_lm.Attention()
+    s = attention_lm.Scorer(P.path("word_bpe_49k.json"), end, counts, np.concatenate([m.flat, tree.flat]))
+    w, c = attention_lm.WINDOW, attention_lm.CONTEXT
+    assert 2 * c >= w
+    for n in (1, w, w + 1, 200):
+        ids = r.integers(0, end, n)
+        rows = np.concatenate([[attention_lm.ROWS], attention_lm.rows_of(ids[:-1])])
+        total, at = 0.0, 0
+        while at < n:
+            begin = max(0, at - c)
+            part = slice(begin, min(begin + w, n))
+            total += tree.log_probs(m.hidden(rows[None, part])[at - begin :], ids[at : part.stop]).sum(dtype=float)
+            at = part.stop
+        assert math.isclose(s.scores_of([ids])[0], total / math.log(10), rel_tol=1e-4)
 
 
 def test_scores(docs, spark):
@@ -333,50 +381,56 @@ def test_every_subword_trains(spark):
     rows = rows.collect()
     ids = [attention_lm._unpacked(bytes(r.ids)) for r in rows]
     batch = pa.RecordBatch.from_arrays([pa.array([bytes(r.ids) for r in rows], pa.binary())], names=["ids"])
-    (out,) = attention_lm._train(end, np.ones(end + 1))(iter([batch]))
+    (out,) = attention_lm._train(np.ones(end + 1))(iter([batch]))
     assert np.frombuffer(zlib.decompress(out.column("blob")[0].as_py()), "<f8")[-1] == sum(map(len, ids))
     before, after, taken = attention_lm.windows_of(ids)
     assert after[taken > 0].tolist() == np.concatenate(ids).tolist()
     assert before[taken > 0].tolist() == np.concatenate([np.append(-1, x[:-1].astype(int)) for x in ids]).tolist()
 
 
-def subwords_of_many():
-    r = np.random.default_rng(5)
-    classes = attention_lm.Classes(r.integers(0, 50, 3000).astype(float))
-    sub = attention_lm.Subwords(classes)
-    return r, classes, sub
-
-
-def test_subwords_begin_with_their_shares_and_are_normalised():
-    r, classes, sub = subwords_of_many()
-    h = r.normal(size=(3000, attention_lm.WIDTH)).astype(np.float32)
-    shared = classes.of >= attention_lm.OWN
-    assert np.allclose(sub.log_probs(h, np.arange(3000)), np.where(shared, classes.share, 0), atol=1e-4)
-    sub.v[:] = r.normal(size=sub.v.shape)
-    same = np.repeat(h[:1], 3000, 0)
-    total = np.bincount(classes.of, np.exp(sub.log_probs(same, np.arange(3000)).astype(float)), attention_lm.CLASSES)
-    assert np.allclose(total, 1, atol=1e-3)
-    assert not np.allclose(sub.log_probs(h, np.arange(3000))[shared], sub.log_probs(same, np.arange(3000))[shared], atol=1e-2)
-
-
-def test_gradient_of_subwords():
-    r, classes, sub = subwords_of_many()
-    sub.v[:] = r.normal(0, 0.3, sub.v.shape)
-    h, ids = r.normal(size=(40, attention_lm.WIDTH)).astype(np.float32), r.integers(0, 3000, 40)
-    loss = lambda: -sub.log_probs(h, ids).sum(dtype=np.float64)
-    for k, at, dh, dv in list(sub.gradients(h, ids, np.ones(40, bool)))[:3]:
-        for x, i, g in ((h, (at[0], 3), dh[0, 3]), (sub.v, (k, sub.slot[ids[at[0]]], 2), dv[sub.slot[ids[at[0]]], 2])):
-            was = x[i]
-            x[i] = was + 1e-2
+def test_gradient_of_the_tree():
+    r, tree = small_tree()
+    h, ids = r.normal(size=(40, attention_lm.WIDTH)).astype(np.float32), r.integers(0, 300, 40)
+    loss = lambda: -tree.log_probs(h, ids).sum(dtype=np.float64)
+    dh, met, g = tree.gradients(h, ids)
+    assert len(set(met.tolist())) == len(met)
+    for i in (0, len(met) // 2, len(met) - 1):
+        for x, place, want in ((h, (i % 40, 3), dh[i % 40, 3]), (tree.v, (met[i], 2), g[i, 2]), (tree.bias, met[i], g[i, -1])):
+            was = x[place]
+            x[place] = was + 1e-2
             up = loss()
-            x[i] = was - 1e-2
+            x[place] = was - 1e-2
             down = loss()
-            x[i] = was
-            assert abs((up - down) / 2e-2 - g) < 1e-2
+            x[place] = was
+            assert abs((up - down) / 2e-2 - want) < 1e-2 + 0.02 * abs(want)
+
+
+def test_held_out_text_is_told_better_than_by_counts(spark):
+    """Sentences of a small grammar: on texts that were not learnt from the model beats the counts of subwords."""
+    import pyarrow as pa
+
+    path = P.path("word_bpe_49k.json")
+    tok = packing.loaded(path)
+    end = tok.tokenizer.get_vocab_size()
+    import random
+
+    r = random.Random(3)
+    nouns, verbs, places = "river town bridge garden harbour".split(), "crosses borders follows feeds".split(), "valley plain forest".split()
+    text = lambda: " ".join(f"the {r.choice(nouns)} {r.choice(verbs)} the {r.choice(places)} and" for _ in range(60))
+    ids = [np.append(np.frombuffer(tok.encode(text().encode()), "<u4"), end) for _ in range(260)]
+    counts = np.bincount(np.concatenate(ids[:250]), minlength=end + 1).astype(float)
+    batch = pa.RecordBatch.from_arrays([pa.array([attention_lm._packed(x) for x in ids[:250]], pa.binary())], names=["ids"])
+    (out,) = attention_lm._train(counts)(iter([batch]))
+    total = np.frombuffer(zlib.decompress(out.column("blob")[0].as_py()), "<f8")
+    scorer = attention_lm.Scorer(path, end, counts, (total[:-1] / total[-1]).astype(np.float32))
+    share = (counts + attention_lm.SMOOTH) / (counts + attention_lm.SMOOTH).sum()
+    by_counts = sum(np.log10(share[x]).sum() for x in ids[250:])
+    tokens = sum(map(len, ids[250:]))
+    assert scorer.scores_of(ids[250:]).sum() / tokens > by_counts / tokens + 0.3
 
 
-def test_context_tells_subwords_of_a_class_apart():
-    """Two rare subwords of one class, each after a cue of its own: after learning, a text that keeps to that is likelier."""
+def test_context_tells_rare_subwords_apart():
+    """Two rare subwords, each after a cue of its own: after learning, a text that keeps to that is likelier."""
     import pyarrow as pa
 
     assert 2 * attention_lm.CONTEXT >= attention_lm.WINDOW
@@ -384,9 +438,7 @@ def test_context_tells_subwords_of_a_class_apart():
     end = packing.loaded(path).tokenizer.get_vocab_size()
     counts = np.ones(end + 1)
     counts[:300] = 100
-    classes = attention_lm.Classes(counts)
-    a, b = np.flatnonzero(classes.of == attention_lm.CLASSES - 1)[-2:]
-    assert classes.share[a] == classes.share[b]
+    a, b = 40_001, 40_002
     r = np.random.default_rng(8)
 
     def text(turned):
@@ -394,7 +446,7 @@ def test_context_tells_subwords_of_a_class_apart():
         return np.append(np.array(parts).ravel(), end)
 
     batch = pa.RecordBatch.from_arrays([pa.array([attention_lm._packed(text(0)) for _ in range(200)], pa.binary())], names=["ids"])
-    (out,) = attention_lm._train(end, counts)(iter([batch]))
+    (out,) = attention_lm._train(counts)(iter([batch]))
     total = np.frombuffer(zlib.decompress(out.column("blob")[0].as_py()), "<f8")
     scorer = attention_lm.Scorer(path, end, counts, total[:-1] / total[-1])
     r = np.random.default_rng(9)
