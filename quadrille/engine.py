@@ -330,8 +330,8 @@ class Engine:
         return self._rel_ends(name, self.catalog.need().domainRel, include_all)
 
     def has_label(self, uri: str, label: str, **p) -> bool:
-        test = infer.has_label(F.col("labels"), label, self._classes(p.get("catLabel"), p.get("subCatRel"), p.get("catNameProp")))
-        return not self.graph.nodes.where(F.col("uri") == uri).where(test).isEmpty()
+        got = infer.has_label(self.graph.nodes.where(F.col("uri") == uri), label, self._classes(p.get("catLabel"), p.get("subCatRel"), p.get("catNameProp")))
+        return not got.where("has_label").isEmpty()
 
     def in_category(self, uri: str, category: str, **p) -> bool:
         """``searchTopDown`` chooses between two ways to one answer and changes nothing here."""

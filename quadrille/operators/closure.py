@@ -8,6 +8,7 @@ frontier only.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -19,10 +20,13 @@ class CyclicHierarchy(ValueError):
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the folder of spark.checkpoint.dir (a temporary one where none is set)."""
+    """``df`` computed once and kept in the folder of spark.checkpoint.dir (a temporary one in a local session without it)."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 

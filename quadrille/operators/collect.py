@@ -27,6 +27,7 @@ def collect(triples: DataFrame, fmt: str, *keys: str, prefixes: dict[str, str] |
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf[list(cols)].astype(object).where(pdf[list(cols)].notna(), None).to_dict("records")
+        rows = [r | {"subjectSPO": None if r["subjectSPO"] is None else list(r["subjectSPO"])} for r in rows]
         first = {k: [pdf[k].iloc[0]] for k in keys}
         return pd.DataFrame(first | {"rdf": [Document(rows, prefixes).write(name)]})
 

@@ -70,10 +70,11 @@ def inferred_labels(graph: Graph, classes: DataFrame) -> DataFrame:
     return used.unionByName(above.withColumnRenamed("name", "label")).distinct()
 
 
-def has_label(labels: Column, label: str, classes: DataFrame) -> Column:
-    """Whether one of the labels is the label or below it. The closure of one label goes into the expression."""
-    names = [r.name for r in sub_names(classes, label).distinct().collect()]  # names below one class: a set that a plan can hold
-    return F.arrays_overlap(labels, F.lit([label, *names]))
+def has_label(nodes: DataFrame, label: str, classes: DataFrame) -> DataFrame:
+    """(uri, graph, has_label): whether one of a node's labels is the label or below it; ``nodes`` has uri, graph, labels."""
+    names = sub_names(classes, label).unionByName(_one(classes, "name", label)).distinct().withColumn("__in", F.lit(True))
+    each = nodes.select("uri", "graph", F.explode_outer("labels").alias("name")).join(names, "name", "left")
+    return each.groupBy("uri", "graph").agg(F.coalesce(F.max("__in"), F.lit(False)).alias("has_label"))
 
 
 def in_category(graph: Graph, pairs: DataFrame, in_rel: str, sub_rel: str) -> DataFrame:

@@ -25,6 +25,14 @@ VIOLATION = SH + "Violation"
 EMPTY = ", ".join(f"{c} string" for c in RESULTS)
 
 
+NODE = ["uri", "graph"]
+
+
+def _at() -> Column:
+    """The named graph as a key of joins."""
+    return F.coalesce("graph", F.lit("")).alias("graph")
+
+
 class ShapeError(ValueError):
     """A shape that can't be compiled."""
 
@@ -178,7 +186,11 @@ def _node(t: _Triples, shape: str, common: dict, level: str, note: str | None) -
 
 
 class Compiler:
-    """Plans of constraints over one graph. ``touched`` (uri) narrows the focus nodes."""
+    """Plans of constraints over one graph. ``touched`` (uri) narrows the focus nodes.
+
+    A node is its uri and named graph: every table here has both, the default graph as an empty string, and every
+    join goes by both.
+    """
 
     def __init__(self, graph: Graph, catalog: Catalog | None = None, touched: DataFrame | None = None):
         self.graph, self.catalog, self.touched = graph, catalog or Catalog(), touched
@@ -206,20 +218,21 @@ class Compiler:
             nodes = nodes.where(F.array_contains("labels", self.stored(c.target)))
         elif c.target_query:
             nodes = nodes.where(F.expr(c.target_query))
+        nodes = nodes.select("uri", _at(), "labels")
         if self.touched is not None:
             nodes = nodes.join(self.touched.select("uri").distinct(), "uri", "left_semi")
         return nodes
 
     def values(self, path: str) -> DataFrame:
-        return self.graph.props.where(F.col("key") == self.stored(path)).select("uri", "type", "lex", "ord")
+        return self.graph.props.where(F.col("key") == self.stored(path)).select("uri", _at(), "type", "lex", "ord")
 
     def whole(self, path: str) -> DataFrame:
         """(uri, vals, offending): all values of a property of a node together; several are sorted and joined."""
-        v = self.values(path).groupBy("uri").agg(F.array_sort(F.collect_list(F.struct("lex", "type"))).alias("vals"))
+        v = self.values(path).groupBy(*NODE).agg(F.array_sort(F.collect_list(F.struct("lex", "type"))).alias("vals"))
         return v.withColumn("offending", F.array_join(F.transform("vals", lambda x: x["lex"]), ", "))
 
     def edges(self, path: str) -> DataFrame:
-        return self.graph.edges.where(F.col("type") == self.stored(path)).select(F.col("src").alias("uri"), "dst")
+        return self.graph.edges.where(F.col("type") == self.stored(path)).select(F.col("src").alias("uri"), _at(), "dst")
 
     def result(self, frame: DataFrame, c: Constraint, component: str, message: Column | str, offending: Column | None = None, path: Column | str | None = None) -> DataFrame:
         target = "[query-based selection]" if c.target_query else self.shown(c.target) if c.target else "[all nodes]"
@@ -240,9 +253,9 @@ class Compiler:
     def _datatype(self, c, p, focus):
         name = p["datatype"]
         ok = lambda v: _of_type(name, v["type"], v["lex"])
-        bad = focus.join(self.whole(c.path), "uri").where(~F.forall("vals", ok))
+        bad = focus.join(self.whole(c.path), NODE).where(~F.forall("vals", ok))
         shown = self.shown(name) if self.config and self.config.is_rdf else _short(name)
-        rel = focus.join(self.edges(c.path), "uri")
+        rel = focus.join(self.edges(c.path), NODE)
         return [self.result(bad, c, "Datatype", f"property value should be of type {shown}", F.col("offending")), self.result(rel, c, "Datatype", f"{self.shown(c.path)} should be a property, instead it  is a relationship", F.col("dst"))]
 
     def _required(self, focus, values):
@@ -259,47 +272,47 @@ class Compiler:
             out.append(self.result(want, c, "HasValue", F.concat(F.lit("The required type "), F.col("want"), F.lit(" could not be found as a label of the focus node "))))
         if self._types in ("NODES", "LABELS_AND_NODES"):
             have = self.edges(c.path).withColumnRenamed("dst", "want")
-            want = self._required(focus, p["hasValue"]).join(have, ["uri", "want"], "left_anti")
+            want = self._required(focus, p["hasValue"]).join(have, [*NODE, "want"], "left_anti")
             out.append(self.result(want, c, "HasValue", F.concat(F.lit("The required type "), F.col("want"), F.lit(f" could not be found as value of relationship {self.shown(c.path)}"))))
         return out
 
     def _hasIri(self, c, p, focus):
-        want = self._required(focus, p["hasValue"]).join(self.edges(c.path).withColumnRenamed("dst", "want"), ["uri", "want"], "left_anti")
+        want = self._required(focus, p["hasValue"]).join(self.edges(c.path).withColumnRenamed("dst", "want"), [*NODE, "want"], "left_anti")
         return [self.result(want, c, "HasValue", F.concat(F.lit("The required value "), F.col("want"), F.lit(f" could not be found as value of relationship {self.shown(c.path)}")))]
 
     def _hasLiteral(self, c, p, focus):
-        want = self._required(focus, p["hasValue"]).join(self.values(c.path).withColumnRenamed("lex", "want"), ["uri", "want"], "left_anti")
+        want = self._required(focus, p["hasValue"]).join(self.values(c.path).withColumnRenamed("lex", "want"), [*NODE, "want"], "left_anti")
         return [self.result(want, c, "HasValue", F.concat(F.lit('The required value "'), F.col("want"), F.lit(f'" was not found in property {self.shown(c.path)}')))]
 
     def _disjoint(self, c, p, focus):
         names = [self.stored(x) for x in p["disjoint"]]
-        other = self.graph.props.where(F.col("key").isin(names)).select("uri", "lex", "type")
-        hit = self.values(c.path).join(other, ["uri", "lex", "type"], "left_semi").select("uri").distinct()
-        props = focus.join(self.whole(c.path), "uri").join(hit, "uri", "left_semi")
-        to = self.graph.edges.where(F.col("type").isin(names)).select(F.col("src").alias("uri"), "dst")
-        rels = focus.join(self.edges(c.path).join(to, ["uri", "dst"], "left_semi").distinct(), "uri")
+        other = self.graph.props.where(F.col("key").isin(names)).select("uri", _at(), "lex", "type")
+        hit = self.values(c.path).join(other, [*NODE, "lex", "type"], "left_semi").select(*NODE).distinct()
+        props = focus.join(self.whole(c.path), NODE).join(hit, NODE, "left_semi")
+        to = self.graph.edges.where(F.col("type").isin(names)).select(F.col("src").alias("uri"), _at(), "dst")
+        rels = focus.join(self.edges(c.path).join(to, [*NODE, "dst"], "left_semi").distinct(), NODE)
         return [self.result(props, c, "Disjoint", "property value overlaps with expected disjoint props", F.col("offending")), self.result(rels, c, "Disjoint", "relationship target overlaps with expected disjoint rels", F.col("dst"))]
 
     def _nodeKind(self, c, p, focus):
         name = self.shown(c.path)
         if p["nodeKind"] == "Literal":
-            return [self.result(focus.join(self.edges(c.path), "uri", "left_semi"), c, "NodeKind", f"{name} should be a property ")]
+            return [self.result(focus.join(self.edges(c.path), NODE, "left_semi"), c, "NodeKind", f"{name} should be a property ")]
         if p["nodeKind"] in ("IRI", "BlankNodeOrIRI", "BlankNode"):
-            return [self.result(focus.join(self.values(c.path), "uri", "left_semi"), c, "NodeKind", f"{name} should be a relationship but it is a property")]
+            return [self.result(focus.join(self.values(c.path), NODE, "left_semi"), c, "NodeKind", f"{name} should be a relationship but it is a property")]
         return []
 
     def _rangeClass(self, c, p, focus):
         want = self.stored(p["class"])
-        to = self.graph.nodes.select(F.col("uri").alias("dst"), F.col("labels").alias("to_labels"))
-        bad = focus.join(self.edges(c.path), "uri").join(to, "dst", "left").where(~F.coalesce(F.array_contains("to_labels", want), F.lit(False)))
-        prop = focus.join(self.whole(c.path), "uri")
+        to = self.graph.nodes.select(F.col("uri").alias("dst"), _at(), F.col("labels").alias("to_labels"))
+        bad = focus.join(self.edges(c.path), NODE).join(to, ["dst", "graph"], "left").where(~F.coalesce(F.array_contains("to_labels", want), F.lit(False)))
+        prop = focus.join(self.whole(c.path), NODE)
         return [self.result(bad, c, "Class", f"value should be of type {self.shown(p['class'])}", F.col("dst")), self.result(prop, c, "Class", f"{self.stored(c.path)} should be a relationship but it is a property", F.col("offending"))]
 
     def _member(self, p: dict, x: Column, values) -> Column:
         return ~x.isin(*values) if "in" in p else x.isin(*values)
 
     def _inLiterals(self, c, p, focus):
-        bad = focus.join(self.values(c.path), "uri").where(self._member(p, F.col("lex"), p.get("in") or p["notIn"]))
+        bad = focus.join(self.values(c.path), NODE).where(self._member(p, F.col("lex"), p.get("in") or p["notIn"]))
         return [self.result(bad, c, "In", F.concat(F.lit('The value "'), F.col("lex"), F.lit(f'" in property {self.shown(c.path)}is not in  the accepted list')), F.col("lex"))]
 
     def _inTypes(self, c, p, focus):
@@ -310,17 +323,17 @@ class Compiler:
             where = TYPE if self.config and self.config.is_rdf else "type"
             out.append(self.result(bad, c, "In", F.concat(F.lit('The label "'), F.col("label"), F.lit('" is not in  the accepted list')), F.col("label"), where))
         if self._types in ("NODES", "LABELS_AND_NODES"):
-            bad = focus.join(self.edges(c.path), "uri").where(self._member(p, F.col("dst"), iris))
+            bad = focus.join(self.edges(c.path), NODE).where(self._member(p, F.col("dst"), iris))
             out.append(self.result(bad, c, "In", F.concat(F.lit('The type "'), F.col("dst"), F.lit(f'" (node connected through property {self.shown(c.path)}) is not in  the accepted list')), F.col("dst")))
         return out
 
     def _inIris(self, c, p, focus):
-        bad = focus.join(self.edges(c.path), "uri").where(self._member(p, F.col("dst"), p.get("in") or p["notIn"]))
+        bad = focus.join(self.edges(c.path), NODE).where(self._member(p, F.col("dst"), p.get("in") or p["notIn"]))
         return [self.result(bad, c, "In", F.concat(F.lit('The value "'), F.col("dst"), F.lit(f'" in property {self.shown(c.path)} is not in  the accepted list')), F.col("dst"))]
 
     def _pattern(self, c, p, focus):
         flags = f"(?{p['flags']})" if p.get("flags") else ""
-        bad = focus.join(self.values(c.path), "uri").where(~F.col("lex").rlike(f"^{flags}(?:{p['pattern']})$"))
+        bad = focus.join(self.values(c.path), NODE).where(~F.col("lex").rlike(f"^{flags}(?:{p['pattern']})$"))
         return [self.result(bad, c, "Pattern", "The value of the property does not match the specified regular expression", F.col("lex"))]
 
     def _outside(self, n: Column, lo, hi) -> Column:
@@ -331,7 +344,7 @@ class Compiler:
         return self.result(bad, c, self._bounds(p, "minCount", "maxCount", "Count"), F.concat(F.lit(f"{what} ("), F.col("n").cast("string"), F.lit(") is outside the defined min-max limits")))
 
     def _counted(self, focus, rows: DataFrame, name: str) -> DataFrame:
-        return focus.join(rows.groupBy("uri").agg(F.count("*").alias(name)), "uri", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+        return focus.join(rows.groupBy(*NODE).agg(F.count("*").alias(name)), NODE, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
     def _count(self, c, p, focus):
         n = self._counted(self._counted(focus, self.edges(c.path), "ne"), self.values(c.path), "np").withColumn("n", F.col("ne") + F.col("np"))
@@ -346,12 +359,12 @@ class Compiler:
         return out
 
     def _inverseCount(self, c, p, focus):
-        into = self.graph.edges.where(F.col("type") == self.stored(c.path)).select(F.col("dst").alias("uri"))
+        into = self.graph.edges.where(F.col("type") == self.stored(c.path)).select(F.col("dst").alias("uri"), _at())
         return [self._count_result(self._counted(focus, into, "n"), c, p, "incoming cardinality")]
 
     def _length(self, c, p, focus):
         ok = lambda v: ~self._outside(F.length(v["lex"]), p.get("minLength"), p.get("maxLength"))
-        bad = focus.join(self.whole(c.path), "uri").where(~F.forall("vals", ok))
+        bad = focus.join(self.whole(c.path), NODE).where(~F.forall("vals", ok))
         return [self.result(bad, c, self._bounds(p, "minLength", "maxLength", "Length"), "", F.col("offending"))]
 
     def _range(self, c, p, focus):
@@ -362,18 +375,18 @@ class Compiler:
                     out = out & test(p[k])
             return out
 
-        bad = focus.join(self.whole(c.path), "uri").where(~F.forall("vals", ok))
+        bad = focus.join(self.whole(c.path), NODE).where(~F.forall("vals", ok))
         used = [k for k in ("minInclusive", "minExclusive", "maxInclusive", "maxExclusive") if p.get(k) is not None]
         name = used[0][0].upper() + used[0][1:] if len(used) == 1 else "ValueRange"
         return [self.result(bad, c, name, "", F.col("offending"))]
 
     def _closed(self, c, p, focus):
         allowed = [self.stored(x) for x in [*p["allowed"], *p["ignoredProperties"]]]
-        keys = self.graph.props.select("uri", F.col("key").alias("term"), F.col("lex").alias("what"))
-        rels = self.graph.edges.select(F.col("src").alias("uri"), F.col("type").alias("term"), F.col("dst").alias("what"))
-        extra = keys.unionByName(rels).where(~F.col("term").isin(allowed)).groupBy("uri", "term").agg(F.array_join(F.array_sort(F.collect_list("what")), ", ").alias("what"))
+        keys = self.graph.props.select("uri", _at(), F.col("key").alias("term"), F.col("lex").alias("what"))
+        rels = self.graph.edges.select(F.col("src").alias("uri"), _at(), F.col("type").alias("term"), F.col("dst").alias("what"))
+        extra = keys.unionByName(rels).where(~F.col("term").isin(allowed)).groupBy(*NODE, "term").agg(F.array_join(F.array_sort(F.collect_list("what")), ", ").alias("what"))
         shown = full_name(F.col("term"), self.catalog) if self.config and self.config.is_rdf else F.col("term")
-        return [self.result(focus.join(extra, "uri"), c, "Closed", "Closed type definition does not include this property/relationship", F.col("what"), shown)]
+        return [self.result(focus.join(extra, NODE), c, "Closed", "Closed type definition does not include this property/relationship", F.col("what"), shown)]
 
     def _type_path(self) -> str:
         return TYPE if self.config and self.config.handleVocabUris != "IGNORE" else "type"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import Catalog, GraphConfig, Mappings, Prefixes
 from ..functions import iri, literals
-from ..model import BASE, XSD
+from ..model import BASE, TYPE, XSD
 from ..operators import closure, export, infer, similarity
 from ..registry import ORACLES, QUERIES
 from . import tablegraph as tg
@@ -51,7 +51,7 @@ _pattern("spo_object_literal", f"object = 'BUILDING' AND isLiteral AND literalTy
 _pattern("spo_predicate_object", f"predicate = '{BASE}IN_CATEGORY' AND object = '{E}nation/3' AND NOT isLiteral", predicate=BASE + "IN_CATEGORY", object_=E + "nation/3")
 _pattern("spo_predicate_typed_literal", f"predicate = '{BASE}size' AND object = '7' AND isLiteral AND literalType = '{XSD}long'", predicate=BASE + "size", object_="7", is_literal=True, literal_type=XSD + "integer")
 _pattern("spo_subject_object", f"subject = '{E}nation/3' AND object = '{E}region/' || (SELECT n_regionkey FROM nation WHERE n_nationkey = 3) AND NOT isLiteral", subject=E + "nation/3", object_=E + "region/3")
-_pattern("spo_all_bound", f"subject = '{E}customer/7' AND predicate = '{BASE}IN_CATEGORY' AND object = '{E}nation/7' AND NOT isLiteral", subject=E + "customer/7", predicate=BASE + "IN_CATEGORY", object_=E + "nation/7")
+_pattern("spo_all_bound", f"subject = '{E}nation/7' AND predicate = '{TYPE}' AND object = '{BASE}Nation' AND NOT isLiteral", subject=E + "nation/7", predicate=TYPE, object_=BASE + "Nation")
 ORACLES["spo_subject_object"] = f"WITH {T} {_S} subject = '{E}nation/3' AND object = '{E}region/3' AND NOT isLiteral"
 
 
@@ -199,10 +199,15 @@ def nodes_in_category(spark, d):
     return infer.nodes_in_category(tg.graph(spark, d), E + "region/0", "IN_CATEGORY", "SCO")
 
 
-@query(f"SELECT uri {_IN_REGION}")
+@query(f"SELECT uri {_IN_REGION} UNION ALL SELECT uri {_IN_REGION} AND k % 2 = 0")
 def nodes_in_category_bag(spark, d):
-    """The same, a row for each way."""
-    return infer.nodes_in_category(tg.graph(spark, d), E + "region/0", "IN_CATEGORY", "SCO", distinct=False)
+    """The same, a row for each way: nations with an even key lead to their region by a zone too."""
+    g, n = tg.graph(spark, d), t(spark, d, "nation").where("n_nationkey % 2 = 0")
+    null = F.lit(None).cast("string")
+    link = lambda a, b: n.select(a.alias("src"), F.lit("SCO").alias("type"), b.alias("dst"), null.alias("graph"))
+    zone = tg.uri("zone", "n_nationkey")
+    more = link(tg.uri("nation", "n_nationkey"), zone).unionByName(link(zone, tg.uri("region", "n_regionkey")))
+    return infer.nodes_in_category(g.with_(edges=g.edges.unionByName(more)), E + "region/0", "IN_CATEGORY", "SCO", distinct=False)
 
 
 def _classes(spark):
@@ -226,7 +231,7 @@ def inferred_labels(spark, d):
 def has_label(spark, d):
     """Whether each node has a label or one below it."""
     g = tg.graph(spark, d)
-    return g.nodes.select("uri", infer.has_label(F.col("labels"), "Partner", _classes(spark)).alias("is_partner"))
+    return infer.has_label(g.nodes, "Partner", _classes(spark)).select("uri", F.col("has_label").alias("is_partner"))
 
 
 @query(f"SELECT '{E}customer/' || c_custkey AS uri, '{E}region/1' AS category, n_regionkey = 1 AS in_category FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -237,7 +242,7 @@ def in_category(spark, d):
 
 
 def _properties(spark):
-    return spark.createDataFrame([("PLACED_BY", "RELATED"), ("CONTAINS", "RELATED"), ("IN_CATEGORY", "CLASSIFIED")], "child string, parent string")
+    return spark.createDataFrame([("PLACED_BY", "RELATED"), ("CONTAINS", "RELATED"), ("IN_CATEGORY", "CLASSIFIED"), ("SCO", "CLASSIFIED")], "child string, parent string")
 
 
 def _get_rels(name: str, direction: str, sql: str):
@@ -246,7 +251,12 @@ def _get_rels(name: str, direction: str, sql: str):
 
 
 _get_rels("get_rels_in", "<", f"SELECT 'PLACED_BY' AS type, '{E}order/' || o_orderkey AS node FROM orders WHERE o_custkey = 5")
-_get_rels("get_rels_both", "", f"SELECT 'PLACED_BY' AS type, '{E}order/' || o_orderkey AS node FROM orders WHERE o_custkey = 5")
+
+
+@query(f"SELECT 'SCO' AS type, '{E}region/' || n_regionkey AS node FROM nation WHERE n_nationkey = 3 UNION ALL SELECT 'IN_CATEGORY', '{E}customer/' || c_custkey FROM customer WHERE c_nationkey = 3 UNION ALL SELECT 'IN_CATEGORY', '{E}supplier/' || s_suppkey FROM supplier WHERE s_nationkey = 3")
+def get_rels_both(spark, d):
+    """Relationships of a nation in either direction that lie under CLASSIFIED: out to its region, in from its members."""
+    return infer.rels(tg.graph(spark, d), E + "nation/3", "CLASSIFIED", _properties(spark))
 
 
 @query(f"SELECT DISTINCT 'CONTAINS' AS type, '{E}part/' || l_partkey AS node FROM lineitem WHERE l_orderkey = 5 UNION ALL SELECT 'PLACED_BY', '{E}customer/' || o_custkey FROM orders WHERE o_orderkey = 5")

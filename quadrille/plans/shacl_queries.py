@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from ..model import BASE, SH, XSD
-from ..operators.shacl import Constraint, validate
+from pyspark.sql import functions as F
+
+from ..config import Catalog, GraphConfig
+from ..model import BASE, SH, TYPE, XSD, Graph
+from ..operators import ingest
+from ..operators.shacl import Constraint, read_shapes, validate
 from ..registry import ORACLES, QUERIES
+from ..sources.readers import parse_text
 from . import tablegraph as tg
 
 E = tg.ROOT
@@ -70,3 +75,118 @@ def _touched(spark, d):
 
 QUERIES["shacl_validate_set"] = _touched
 ORACLES["shacl_validate_set"] = ORACLES["shacl_min_length"] + " AND p_partkey < 200"
+
+
+# --- shapes as text, several at once, pruned by the labels in use --------------------------------------------------
+
+SHAPES = """
+@prefix sh: <http://www.w3.org/ns/shacl#> . @prefix xsd: <http://www.w3.org/2001/XMLSchema#> .
+@prefix g: <graph://schema#> . @prefix : <http://ex.org/> .
+:parts a sh:NodeShape ; sh:targetClass g:Part ;
+  sh:property [ sh:path g:size ; sh:datatype xsd:string ] , [ sh:path g:brand ; sh:pattern "Brand#1[0-9]" ; sh:minLength 2 ; sh:maxLength 7 ] ,
+    [ sh:path g:name ; sh:minLength 12 ] , [ sh:path g:retailprice ; sh:minInclusive 950.5 ; sh:maxExclusive 1500 ] .
+:customers a sh:NodeShape ; sh:targetClass g:Customer ;
+  sh:property [ sh:path g:IN_CATEGORY ; sh:hasValue <http://ex.org/nation/3> ; sh:nodeKind sh:Literal ; sh:class g:Region ] ,
+    [ sh:path g:mktsegment ; sh:hasValue "BUILDING" ; sh:in ( "BUILDING" "MACHINERY" ) ] , [ sh:path g:name ; sh:nodeKind sh:IRI ] ,
+    [ sh:path [ sh:inversePath g:PLACED_BY ] ; sh:maxCount 12 ] .
+:orders a sh:NodeShape ; sh:targetClass g:Order ; sh:property [ sh:path g:CONTAINS ; sh:minCount 3 ; sh:maxCount 5 ] , [ sh:path g:status ; sh:disjoint g:priority , g:status ] .
+:nations a sh:NodeShape ; sh:targetClass g:Nation ; sh:class g:Place ;
+  sh:property [ sh:path g:SCO ; sh:datatype xsd:string ; sh:in ( <http://ex.org/region/0> <http://ex.org/region/1> ) ] .
+:suppliers a sh:NodeShape ; sh:targetClass g:Supplier ; sh:closed true ; sh:ignoredProperties ( g:IN_CATEGORY ) ; sh:property [ sh:path g:name ] .
+:unused a sh:NodeShape ; sh:targetClass g:Vessel ; sh:property [ sh:path g:flag ; sh:minCount 1 ] .
+:off a sh:NodeShape ; sh:targetClass g:Part ; sh:deactivated true ; sh:property [ sh:path g:name ; sh:maxLength 1 ] .
+"""
+_IN_SHAPES = ("datatype", "pattern", "length", "min_length", "range", "has_iri", "node_kind_literal", "class_range", "has_literal", "in_literals", "node_kind_iri", "max_count_inverse", "count", "disjoint_props", "required_type", "datatype_rel", "in_iris", "closed")
+
+
+def _validate_all(spark, d):
+    """Violations of shapes given as Turtle: all components together, a shape without nodes pruned, one switched off."""
+    return validate(tg.graph(spark, d), read_shapes(parse_text(SHAPES, "Turtle"))).selectExpr(*_COLS.split(", "))
+
+
+QUERIES["shacl_validate_all"] = _validate_all
+ORACLES["shacl_validate_all"] = " UNION ALL ".join(f"SELECT {_COLS} FROM ({ORACLES['shacl_' + k]})" for k in _IN_SHAPES)
+
+
+# --- named graphs -------------------------------------------------------------------------------------------------
+
+
+def _quad_graph(spark, d):
+    from .ingest_queries import NS, _quads, _rows
+
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    typed = _rows(o, tg.uri("customer", "o_custkey"), F.lit(TYPE), F.lit(NS + "Buyer"), graph=F.concat(F.lit(f"{E}graph/"), F.col("o_orderstatus")))
+    return ingest.load(_quads(spark, d).unionByName(typed), Catalog(GraphConfig(handleVocabUris="IGNORE"))).graph, NS
+
+
+def _quads_count(spark, d):
+    """A node is counted in each named graph by itself."""
+    g, ns = _quad_graph(spark, d)
+    c = Constraint("count", target=ns + "Buyer", path=ns + "ordered", shape="http://ex.org/shape", params={"maxCount": 3.0})
+    return validate(g, [c]).select("focusNode", "resultMessage")
+
+
+QUERIES["shacl_quads_count"] = _quads_count
+ORACLES["shacl_quads_count"] = f"SELECT DISTINCT '{E}customer/' || o_custkey AS focusNode, 'cardinality (' || n || ') is outside the defined min-max limits' AS resultMessage FROM (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL) WHERE n > 3"
+
+
+def _quads_range(spark, d):
+    """A value is checked where it stands: the node's value in another graph doesn't count."""
+    g, ns = _quad_graph(spark, d)
+    c = Constraint("range", target=ns + "Buyer", path=ns + "latest", shape="http://ex.org/shape", params={"maxInclusive": 500.0})
+    return validate(g, [c]).select("focusNode", "offendingValue")
+
+
+QUERIES["shacl_quads_range"] = _quads_range
+ORACLES["shacl_quads_range"] = f"SELECT DISTINCT '{E}customer/' || o_custkey AS focusNode, last::VARCHAR AS offendingValue FROM (SELECT o_custkey, max(o_orderkey) AS last FROM orders GROUP BY o_custkey, o_orderstatus) WHERE last > 500"
+
+
+# --- every datatype -------------------------------------------------------------------------------------------------
+
+#: Stored type and text of the value of an event, by event_id mod 9; the datatypes that take each.
+_STORED = (("string", "x"), ("string", "http://ex.org/x"), ("long", "7"), ("double", "7.5"), ("boolean", "true"), ("date", "2024-01-02"), ("datetime", "2024-01-02T03:04:05Z"), ("localdatetime", "2024-01-02T03:04:05"), ("point", "POINT(1 2)"))
+_TAKES = {"string": (0, 1), "anyURI": (1,), "integer": (2,), "int": (2,), "long": (2,), "float": (3,), "double": (3,), "decimal": (3,), "boolean": (4,), "date": (5,), "dateTime": (6, 7), "wktLiteral": (8,)}
+
+
+def _datatypes(spark, d):
+    """All twelve datatypes that can be checked, over values of nine kinds."""
+    e, null = spark.read.parquet(f"{d}/events.parquet"), F.lit(None).cast("string")
+    uri = tg.uri("event", "event_id")
+    pick = lambda i: F.element_at(F.lit([x[i] for x in _STORED]), (F.col("event_id") % len(_STORED) + 1).cast("int"))
+    nodes = e.select(uri.alias("uri"), null.alias("graph"), F.array(F.lit("Event")).alias("labels"))
+    props = e.select(uri.alias("uri"), null.alias("graph"), F.lit("v").alias("key"), F.lit(0).cast("long").alias("ord"), pick(0).alias("type"), pick(1).alias("lex"), null.alias("lang"), null.alias("datatype"))
+    none = Graph.empty(spark)
+    where = {"wktLiteral": "http://www.opengis.net/ont/geosparql#"}
+    cs = [_c("datatype", "Event", "v", datatype=where.get(k, XSD) + k) for k in _TAKES]
+    return validate(Graph(nodes, props, none.edges, none.edge_props), cs).select("focusNode", "offendingValue", "resultMessage")
+
+
+QUERIES["shacl_datatypes"] = _datatypes
+_CASE = "CASE (event_id % 9)::INTEGER " + " ".join(f"WHEN {i} THEN '{x}'" for i, (_, x) in enumerate(_STORED)) + " END"
+ORACLES["shacl_datatypes"] = " UNION ALL ".join(f"SELECT '{E}event/' || event_id AS focusNode, {_CASE} AS offendingValue, 'property value should be of type {k}' AS resultMessage FROM events WHERE event_id % 9 NOT IN ({', '.join(map(str, ok))})" for k, ok in _TAKES.items())
+
+
+# --- types as nodes -------------------------------------------------------------------------------------------------
+
+
+def _typed_nodes(spark, d):
+    """Suppliers with an edge to class A, odd ones to class B too."""
+    g, s = tg.graph(spark, d), spark.read.parquet(f"{d}/supplier.parquet")
+    to = lambda x, k: x.select(tg.uri("supplier", "s_suppkey").alias("src"), F.lit("type").alias("type"), F.lit(f"{E}class/{k}").alias("dst"), F.lit(None).cast("string").alias("graph"))
+    return g.with_(edges=to(s, "A").unionByName(to(s.where("s_suppkey % 2 = 1"), "B")))
+
+
+def _in_nodes(name: str, kind: str, params: dict, sql: str) -> None:
+    def run(spark, d):
+        catalog = Catalog(GraphConfig(handleVocabUris="IGNORE", handleRDFTypes="NODES"))
+        c = Constraint(kind, target=V("Supplier"), path=TYPE, shape="http://ex.org/shape", params=params)
+        return validate(_typed_nodes(spark, d), [c], catalog).selectExpr(*_COLS.split(", "))
+
+    run.__doc__ = f"{kind} where types are nodes."
+    QUERIES[name] = run
+    ORACLES[name] = sql
+
+
+_in_nodes("shacl_has_type_nodes", "hasType", {"hasValue": [E + "class/A", E + "class/B"]}, _sql(S, "Supplier", "HasValue", "NULL", "type", f"'The required type {E}class/B could not be found as value of relationship type'", "FROM supplier WHERE s_suppkey % 2 = 0"))
+_in_nodes("shacl_in_types_nodes", "inTypes", {"in": [E + "class/A"]}, _sql(S, "Supplier", "In", f"'{E}class/B'", "type", f"'The type \"{E}class/B\" (node connected through property type) is not in  the accepted list'", "FROM supplier WHERE s_suppkey % 2 = 1"))
+_in_nodes("shacl_type_count_nodes", "typeCount", {"minCount": 2.0}, _sql(S, "Supplier", "MinCount", "NULL", "type", "'type cardinality (1) is outside the defined min-max limits'", "FROM supplier WHERE s_suppkey % 2 = 0"))

@@ -11,4 +11,4 @@ def FLAGSHIP(spark, sf_dir):
     return QUERIES["nodes_in_category"](spark, sf_dir)
 
 
-from .plans import graph_queries, ingest_queries, shacl_queries  # noqa: E402,F401  they fill QUERIES and ORACLES
+from .plans import graph_queries, ingest_queries, rdf_queries, shacl_queries  # noqa: E402,F401  they fill QUERIES and ORACLES

@@ -73,7 +73,10 @@ def read(spark: SparkSession, path: str, fmt: str, config: ParserConfig | None =
     need_format(fmt)
     path, _, entry = path.partition("!")
     if fmt in ("N-Triples", "N-Quads") and not path.lower().endswith((".zip", ".tgz", ".tar", ".tar.gz", ".tar.bz2")):
-        return _lines(spark.read.text(path), config)
+        lines = spark.read.text(path)
+        # The blank nodes of one file keep their labels; those of several are told apart by the file's name.
+        several = len(lines.inputFiles()) > 1
+        return _lines(lines.select("value", F.hex(F.xxhash64("_metadata.file_path")).alias("file")) if several else lines, config)
     strict, inner = config.verifyUriSyntax, entry or None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,8 +88,10 @@ def read(spark: SparkSession, path: str, fmt: str, config: ParserConfig | None =
                 rows = [s._replace(subject=tag(s.subject), object=s.object if s.isLiteral else tag(s.object), ord=(at << 40) + s.ord) for s in made]
                 yield pd.DataFrame(rows, columns=Statement._fields)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content", F.abs(F.xxhash64("path") % (1 << 20)).alias("file"))
-    return files.mapInPandas(run, TRIPLES)
+    files = spark.read.format("binaryFile").load(path)
+    names = sorted(r.path for r in files.select("path").collect())  # the names of the files, which the driver lists anyway
+    numbers = spark.createDataFrame(list(enumerate(names)), "file long, path string")
+    return files.select("path", "content").join(numbers, "path").select("path", "content", "file").mapInPandas(run, TRIPLES)
 
 
 _IRI, _BNODE = r"<([^<>\s]*)>", r"(_:[^\s<>\"]+)"
@@ -94,10 +99,24 @@ _LINE = rf'^\s*(?:{_IRI}|{_BNODE})\s*{_IRI}\s*(?:{_IRI}|{_BNODE}|"((?:[^"\\]|\\.
 
 
 def _unescaped(c):
-    """N-Triples escapes undone. Numeric ones are rare and go through ``from_json``, which knows them."""
+    """N-Triples escapes undone. What has any is made a JSON string and read by ``from_json``; it fails if that can't.
+
+    Eight-digit escapes become the four-digit ones of JSON, beyond U+FFFF as a surrogate pair.
+    """
     plain = F.when(~c.contains("\\"), c)
-    wide = F.regexp_replace(c, r"\\U0000([0-9A-Fa-f]{4})", r"\\u$1")
-    return F.coalesce(plain, F.from_json(F.concat(F.lit('{"v":"'), F.regexp_replace(wide, r"\\'", "'"), F.lit('"}')), "v string")["v"])
+    # An escaped backslash goes first, so that no letter after it is taken for its escape.
+    safe = F.regexp_replace(c, r"\\\\", r"\\u005c")
+
+    def narrow(h):
+        above = F.conv(h, 16, 10).cast("int") - 0x10000
+        four = lambda x: F.concat(F.lit("\\u"), F.lpad(F.hex(x), 4, "0"))
+        pair = F.concat(four(F.lit(0xD800) + F.shiftright(above, 10)), four(F.lit(0xDC00) + above.bitwiseAND(0x3FF)))
+        return F.when(above < 0, F.concat(F.lit("\\u"), F.substring(h, 5, 4))).otherwise(pair)
+
+    wide = F.array_distinct(F.regexp_extract_all(safe, F.lit(r"\\U([0-9A-Fa-f]{8})"), F.lit(1)))
+    short = F.aggregate(wide, safe, lambda acc, h: F.replace(acc, F.concat(F.lit("\\U"), h), narrow(h)))
+    read = F.from_json(F.concat(F.lit('{"v":"'), F.regexp_replace(short, r"\\'", "'"), F.lit('"}')), "v string", {"allowUnquotedControlChars": "true"})["v"]
+    return F.coalesce(plain, read, F.raise_error(F.concat(F.lit("not an N-Triples string: "), c)).cast("string"))
 
 
 def _lines(lines: DataFrame, config: ParserConfig) -> DataFrame:
@@ -106,12 +125,14 @@ def _lines(lines: DataFrame, config: ParserConfig) -> DataFrame:
     ok = F.col("value").rlike(_LINE)
     bad = F.raise_error(F.concat(F.lit("not a statement: "), F.col("value")))
     rows = rows.where(ok) if not config.abortOnError else rows.where(F.when(ok, True).otherwise(bad.cast("boolean")))
-    obj = F.coalesce(g(4), g(5))
+    # Blank nodes are a file's own.
+    blank = (lambda i: F.concat(F.lit("_:f"), F.col("file"), F.lit("x"), F.substring(g(i), 3, 1 << 20))) if "file" in lines.columns else g
+    obj = F.coalesce(g(4), blank(5))
     out = rows.select(
-        F.coalesce(g(1), g(2)).alias("subject"), g(3).alias("predicate"),
+        F.coalesce(g(1), blank(2)).alias("subject"), g(3).alias("predicate"),
         F.coalesce(obj, _unescaped(F.regexp_extract("value", _LINE, 6))).alias("object"), obj.isNull().alias("isLiteral"),
         F.when(obj.isNull(), F.coalesce(g(8), F.when(g(7).isNotNull(), F.lit(LANG_STRING)), F.lit(XSD + "string"))).alias("literalType"),
-        g(7).alias("literalLang"), F.lit(None).cast("array<string>").alias("subjectSPO"), F.coalesce(g(9), g(10)).alias("graph"), "ord",
+        g(7).alias("literalLang"), F.lit(None).cast("array<string>").alias("subjectSPO"), F.coalesce(g(9), blank(10)).alias("graph"), "ord",
     )
     if config.verifyUriSyntax:
         wrong = ~F.col("predicate").contains(":")

@@ -10,7 +10,7 @@ import pytest
 
 from quadrille.config import GraphConfig, GraphConfigError, Mappings, PrefixError, Prefixes
 from quadrille.engine import Engine
-from quadrille.model import RDF, XSD
+from quadrille.model import RDF, XSD, Graph
 from quadrille.sources.jsonld import json_tree
 from quadrille.sources.readers import parse_text, read, unpacked
 from quadrille.sources.terms import ParseError
@@ -220,3 +220,38 @@ def test_collect(spark):
     for fmt, name in (("nt", "N-Triples"), ("ttl", "Turtle"), ("xml", "RDF/XML"), ("json", "JSON-LD"), ("ttlstar", "Turtle-star")):
         got = collect(view, fmt, "subject").first().rdf
         assert facts(parse_text(got, name)) == facts(view.distinct().withColumns({"graph": view.literalLang}).collect())
+
+
+def test_line_strings_that_cannot_be_read_fail(spark):
+    from quadrille.config import ParserConfig
+    from quadrille.sources.readers import _lines
+
+    read = lambda text: _lines(spark.createDataFrame([(f'<http://a> <http://b> "{text}" .',)], "value string"), ParserConfig()).first().object
+    assert read("x \\U0001F600 \\u00E9 y") == "x \U0001f600 é y"
+    assert read("\\\\U0001F600") == "\\U0001F600" and read("\\\\\\U0001F600\\t") == "\\\U0001f600\t"
+    with pytest.raises(Exception, match="not an N-Triples string"):
+        read("\\x")
+
+
+def test_blank_nodes_of_two_files_stay_apart(spark, tmp_path):
+    from quadrille.sources.readers import read
+
+    for k in "ab":
+        (tmp_path / f"{k}.nt").write_text("_:x <http://p> _:y .\n_:y <http://p> _:x .\n")
+        (tmp_path / f"{k}.ttl").write_text("_:x <http://p> _:y .\n")
+    lines, docs = read(spark, f"{tmp_path}/*.nt", "N-Triples").collect(), read(spark, f"{tmp_path}/*.ttl", "Turtle").collect()
+    assert len({x for r in lines for x in (r.subject, r.object)}) == 4 == len({x for r in docs for x in (r.subject, r.object)})
+    assert len({r.ord for r in docs}) == 2
+
+
+def test_a_node_is_checked_in_each_graph_by_itself(spark):
+    from quadrille.operators.shacl import Constraint, validate
+
+    g = Graph(
+        spark.createDataFrame([("n", "g1", ["T"]), ("n", "g2", ["T"]), ("n", None, ["T"])], "uri string, graph string, labels array<string>"),
+        Graph.empty(spark).props,
+        spark.createDataFrame([("n", "p", "a", "g1"), ("n", "p", "b", "g2"), ("n", "p", "c", None), ("n", "p", "d", None)], "src string, type string, dst string, graph string"),
+        Graph.empty(spark).edge_props,
+    )
+    got = validate(g, [Constraint("count", target="graph://schema#T", path="graph://schema#p", params={"maxCount": 1.0})]).collect()
+    assert [r.resultMessage for r in got] == ["cardinality (2) is outside the defined min-max limits"]
