@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 
 from .common import per_document, texts_of
 
-#: Up to so many bytes a piece is merged at once.
-LEAF = 48
+#: Up to so many bytes are merged at once, at the leaves of the tree.
+LEAF = 4
 #: Pieces kept with their ids, by a worker; beyond that the cache starts anew.
 CACHE_PIECES, CACHE_BYTES = 200_000, 48
+#: Parts of pieces kept likewise.
+PART_BYTES = 8
 
 
 class ByteBPE:
@@ -35,6 +37,7 @@ class ByteBPE:
         self.pieces = regex.compile(pattern).findall
         self.known: dict[str, str] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.parts: dict[bytes, list[int]] = {}
 
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBPE:
@@ -83,10 +86,19 @@ class ByteBPE:
             j += wider_right and min(len(right) - j, j)
 
     def tree(self, piece: bytes) -> list[int]:
+        """The encoding of the piece's halves, joined; what short parts give is kept, for parts recur more than pieces."""
+        if (got := self.parts.get(piece)) is not None:
+            return got
         if len(piece) <= self.leaf:
-            return self.merge(piece)
-        half = len(piece) // 2
-        return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
+            out = self.merge(piece)
+        else:
+            half = len(piece) // 2
+            out = self.join(self.tree(piece[:half]), self.tree(piece[half:]))
+        if len(piece) <= PART_BYTES:
+            if len(self.parts) >= CACHE_PIECES:
+                self.parts.clear()
+            self.parts[piece] = out
+        return out
 
     def encode_piece(self, piece: bytes) -> list[int]:
         return [whole] if (whole := self.ranks.get(piece)) is not None else self.tree(piece)
@@ -111,7 +123,7 @@ class ByteBPE:
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of the ids, concatenated up a tree of halves."""
-        if len(ids) > 8192:
+        if len(ids) > 64:
             half = len(ids) // 2
             return self.decode(ids[:half]) + self.decode(ids[half:])
         return b"".join(map(self.bytes_of.__getitem__, ids))
