@@ -127,7 +127,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         exact = (sizes * (k + 1)) % capacity == 0
         u = np.where(exact, sizes * k, (sizes * (k + 1)) // capacity * capacity)  # times 1 / (k * capacity)
         best = max(best, -(-int((u * counts).sum()) // (k * capacity)))
-    for e in np.unique(np.minimum(sizes, capacity - sizes))[:512]:
+    for e in np.unique(np.minimum(sizes, capacity - sizes)):
         if 0 < e <= capacity // 2:
             lifted = np.where(sizes > capacity - e, capacity, np.where(sizes < e, 0, sizes))
             best = max(best, -(-int((lifted * counts).sum()) // capacity))
