@@ -35,26 +35,39 @@ s AS (SELECT l.*, hot.k IS NOT NULL AND doc_id <> keeper AS gone FROM l LEFT JOI
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM s GROUP BY doc_id
 """
 
-def _op4() -> str:
-    from .secret_scan import ALLOWED, BASE, CLASSES, KINDS, most_allowed
+#: Of op4: kind, pattern, group to measure, least length (fixed values); RE2 has no look-behind, and leftmost runs need none.
+_OP4_KINDS = (
+    ("assign", "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("entropy", "[A-Za-z0-9+/_=-]{20,}", 0, 20),
+)
+#: Candidates that are no secrets (fixed values).
+_OP4_ALLOWED = (
+    "^[0-9_=/+-]+$",
+    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    "(?i)abcdefgh|12345678|example|sample|placeholder|changeme|dummy|redacted|xxxx",
+    "^/?[A-Za-z0-9_-]*(/[A-Za-z0-9_-]*){2,}$",
+    "^[A-Za-z]+([-_=][A-Za-z]+)*[-_=]?[0-9]{1,4}$",
+)
 
-    def q(pattern: str) -> str:
-        return pattern.replace("(?<![0-9a-f])", "").replace("'", "''")
 
-    kinds = [(k, q(p), g, n) for k, p, g, n in BASE] + [("entropy", "[A-Za-z0-9+/_=-]{20,}", 0, 20)]
+def _op4() -> str:
+    # A window of 20 has entropy h bits or more if the sum of c * log2(c) is at most 20 * (log2(20) - h); in millionths.
+    most = lambda bits: f"round(20 * (log2(20) - {bits}) * 1000000)::BIGINT"
+    kinds, names = _OP4_KINDS, [k for k, *_ in _OP4_KINDS]
     found = " UNION ALL ".join(
         f"SELECT r, '{k}' AS kind, {i} AS rank, {n} AS least, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}', 0) AS ms, regexp_extract_all(t, '{p}', {g}) AS what FROM d WHERE regexp_matches(t, '{p}')"
         for i, (k, p, g, n) in enumerate(kinds)
     )
-    (_, _, _, wh, bh), (_, _, _, wb, bb) = CLASSES
-    allowed = " OR ".join(f"regexp_matches(what, '{q(p)}')" for p in ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(what, '{p}')" for p in _OP4_ALLOWED)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 f AS ({found}),
 m AS (SELECT r, kind, rank, least, i, length(gaps[i]) AS gap, length(ms[i]) AS len, what[i] AS what FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM f)),
 p AS (SELECT *, (sum(gap + len) OVER (PARTITION BY r, rank ORDER BY i) - len)::BIGINT AS s FROM m),
 base AS (SELECT r, kind, rank, s, s + len AS e FROM p WHERE rank < 3 AND length(what) >= least),
-cand AS (SELECT *, CASE WHEN regexp_matches(what, '^[0-9a-fA-F]+$') THEN {wh} ELSE {wb} END AS win, CASE WHEN regexp_matches(what, '^[0-9a-fA-F]+$') THEN {most_allowed(wh, bh)} ELSE {most_allowed(wb, bb)} END AS most FROM p
+cand AS (SELECT *, 20 AS win, CASE WHEN regexp_matches(what, '^[0-9a-fA-F]+$') THEN {most(3.0)} ELSE {most(3.6)} END AS most FROM p
   WHERE rank = 3 AND regexp_matches(what, '[0-9]') AND (regexp_matches(what, '^[0-9a-fA-F]+$') OR (regexp_matches(what, '[A-Z]') AND regexp_matches(what, '[a-z]'))) AND NOT ({allowed})),
 wins AS (SELECT r, s, w, most, unnest(string_split(substring(what, w::BIGINT, win), '')) AS ch FROM (SELECT *, unnest(range(1, len - win + 2)) AS w FROM cand WHERE len >= win)),
 cnt AS (SELECT r, s, w, most, ch, count(*) AS c FROM wins GROUP BY ALL),
@@ -62,8 +75,8 @@ tot AS (SELECT r, s, w, most, sum(round(c * log2(c) * 1000000)::BIGINT) AS x FRO
 hot AS (SELECT DISTINCT r, s FROM tot WHERE x <= most),
 ent AS (SELECT c.r, c.kind, c.rank, c.s, c.s + c.len AS e FROM cand c JOIN hot USING (r, s) WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = c.r AND b.s < c.s + c.len AND c.s < b.e)),
 a AS (SELECT * FROM base UNION ALL SELECT * FROM ent),
-g AS (SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)}, coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3), '') AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans FROM a GROUP BY r)
-SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in KINDS)}, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)
+g AS (SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in names)}, coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3), '') AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans FROM a GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in names)}, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)
 """
 
 
