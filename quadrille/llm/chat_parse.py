@@ -2,28 +2,38 @@
 
 A state is a role and whether the line begins a turn or goes on with it. What a line shows is a tuple of small
 features: the speaker marker it begins with, its length, its last character, the case of its first letter.
-Emissions are products over the features; they and the transitions are counted over labelled conversations
-(all of them: a table of fixed size for each task, summed in two steps). The best path gives the roles; runs
-of lines make turns, which are rendered in one canonical form with the markers taken off.
+Emissions are products over the features; they and the transitions are counted over all labelled conversations.
+The best path gives the roles; runs of lines make turns, which are rendered in one canonical form with the markers
+taken off.
+
+Conversations have no bound. Rows are range-partitioned and sorted by conversation and turn, so that one may lie over
+many partitions, and every task streams its rows. Where a conversation crosses a seam between partitions, what the
+part on either side does to the scores is a matrix over the states (max-plus products; whole numbers, so that they
+are exact). The driver multiplies the two of each partition along the seams, and each part is decoded from the scores
+that enter it to the state that it has to end in. The path is that of the whole conversation, however it is cut.
 
 Cases: a null or empty transcript has no turns; blank lines go on with their turn; an unknown role is learned
-as the user's; without labelled rows the priors decide; repeated rows are parsed each; extra columns go.
+as the user's; without labelled rows the priors decide; repeated rows are turns each; rows without conv_id are one
+conversation; extra columns go.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpointed
+
 ROLES = ("system", "user", "assistant")
 STATES = [(r, b) for r in range(len(ROLES)) for b in (True, False)]
 #: Markers by role (fixed values); the first of a role is written most often.
@@ -32,8 +42,10 @@ _MARK = re.compile(r"^[\s>*#\[]*(" + "|".join(m for ms in MARKERS.values() for m
 _ROLE_OF = {m.lower(): ROLES.index(r) for r, ms in MARKERS.items() for m in ms}
 #: Values of each feature: marker (none or a role), length, end, beginning.
 SIZES = (4, 5, 4, 3)
-#: Rows of a conversation that one transcript holds at most; longer ones are cut at turns.
-SEGMENT_TURNS, SEGMENT_ROWS = 64, 2048
+#: Log probabilities are whole numbers of this fraction, so that sums don't depend on their order.
+UNIT = 1 << 20
+#: Lines and characters after which a task looks how far back the path is settled, and gives that part out.
+PIECE_LINES, PIECE_CHARS = 4096, 1 << 20
 
 
 def features(line: str) -> tuple[int, int, int, int]:
@@ -72,9 +84,7 @@ class LineModel:
                 a += counts[at : at + a.size].reshape(a.shape)
                 at += a.size
         move[:, :] = np.where([[not c and q != r for q, c in STATES] for r, _ in STATES], 1e-12, move)
-        self.begin = np.log(begin / begin.sum())
-        self.move = np.log(move / move.sum(1, keepdims=True))
-        self.emit = [np.log(e / e.sum(1, keepdims=True)) for e in emit]
+        self.begin, self.move, *self.emit = (np.rint(np.log(a / a.sum(-1, keepdims=True)) * UNIT).astype(np.int64) for a in (begin, move, *emit))
 
     @staticmethod
     def size() -> int:
@@ -82,29 +92,101 @@ class LineModel:
         return s + s * s + sum(s * k for k in SIZES)
 
     @staticmethod
-    def count(path: list[int], seen: list[tuple], into: np.ndarray) -> None:
+    def count(path: list[int], seen: list[tuple], into: np.ndarray, before: int | None = None) -> None:
+        """Add the lines of a turn; ``before`` is the state of the line before it."""
         s = len(STATES)
-        into[path[0]] += 1
-        np.add.at(into, [s + a * s + b for a, b in zip(path, path[1:], strict=False)], 1)
+        if before is None:
+            into[path[0]] += 1
+            steps = zip(path, path[1:], strict=False)
+        else:
+            steps = zip([before, *path], path, strict=False)
+        for p, q in steps:
+            into[s + p * s + q] += 1
         at = s + s * s
         for k, size in enumerate(SIZES):
-            np.add.at(into, [at + p * size + f[k] for p, f in zip(path, seen, strict=True)], 1)
+            for p, f in zip(path, seen, strict=True):
+                into[at + p * size + f[k]] += 1
             at += s * size
 
+    def shown(self, f: tuple) -> np.ndarray:
+        """The scores of the states for what a line shows."""
+        return self.emit[0][:, f[0]] + self.emit[1][:, f[1]] + self.emit[2][:, f[2]] + self.emit[3][:, f[3]]
+
     def viterbi(self, seen: list[tuple]) -> list[int]:
         """The likeliest states of the lines; the earlier state where two are alike."""
-        f = np.array(seen)
-        e = sum(self.emit[k][:, f[:, k]] for k in range(len(SIZES))).T
-        best, back = self.begin + e[0], []
-        for row in e[1:]:
+        best, back = self.begin + self.shown(seen[0]), []
+        for f in seen[1:]:
             through = best[:, None] + self.move
             back.append(through.argmax(0))
-            best = through.max(0) + row
+            best = through.max(0) + self.shown(f)
         path = [int(best.argmax())]
         for b in reversed(back):
             path.append(int(b[path[-1]]))
         return path[::-1]
 
+    def product(self, seen: Iterable[tuple], starts: bool) -> tuple[int, np.ndarray]:
+        """(lines, matrix): the best score from each state before the lines to each state of the last, up to a constant.
+
+        One row where the lines start a conversation.
+        """
+        m, n = None, 0
+        for n, f in enumerate(seen, 1):
+            e = self.shown(f)
+            if m is None:
+                m = self.begin[None, :] + e if starts else self.move + e
+            else:
+                m = (m[:, :, None] + self.move).max(1) + e
+            if not n % 1024:
+                m -= m.max()
+        return n, m - m.max()
+
+    def origins(self, seen: Iterable[tuple], enter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(state before the lines for each state of the last on its best path, their scores)."""
+        best, origin = enter, np.arange(len(STATES))
+        for n, f in enumerate(seen, 1):
+            through = best[:, None] + self.move
+            origin = origin[through.argmax(0)]
+            best = through.max(0) + self.shown(f)
+            if not n % 1024:
+                best -= best.max()
+        return origin, best - best.max()
+
+    def decoded(self, seen: Iterable[tuple[tuple, int]], enter: np.ndarray | None, end: int | None) -> Iterator[list[int]]:
+        """The path in pieces. ``seen`` has the features and the length of each line.
+
+        ``enter`` has the scores before the first line where the conversation started earlier; ``end`` is the last state
+        where it goes on later. A piece is what all ways back agree on.
+        """
+        best, back, size = enter, [], 0
+        for f, chars in seen:
+            if best is None:
+                best = self.begin + self.shown(f)
+                back.append(np.zeros(len(STATES), np.uint8))
+            else:
+                through = best[:, None] + self.move
+                back.append(through.argmax(0).astype(np.uint8))
+                best = through.max(0) + self.shown(f)
+            size += chars
+            if len(back) % PIECE_LINES == 0 or size >= PIECE_CHARS:
+                best = best - best.max()
+                size = 0
+                at = np.arange(len(STATES))
+                for i in range(len(back) - 1, 0, -1):
+                    at = back[i][at]
+                    if (at == at[0]).all():
+                        yield self._traced(back[:i], int(at[0]))
+                        del back[:i]
+                        break
+        if back:
+            yield self._traced(back, int(best.argmax()) if end is None else end)
+
+    @staticmethod
+    def _traced(back: list[np.ndarray], last: int) -> list[int]:
+        path = [last]
+        for b in reversed(back[1:]):
+            path.append(int(b[path[-1]]))
+        return path[::-1]
+
 
 def parse(text: str, model: LineModel) -> list[tuple[str, str]]:
     """(role, content) of the turns of a transcript."""
@@ -143,56 +225,199 @@ def written_out(turns: list[tuple[int, str, str]]) -> tuple[str, list[int]]:
     return "\n".join(lines), states
 
 
-def _add(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"salt": [0], "counts": [np.sum(np.stack(pdf["counts"].to_list()), 0).tolist()]})
+def ordered(conversations: DataFrame, parts: int | None = None) -> DataFrame:
+    """(conv_id, turn, role, text) sorted over all partitions; rows alike are told apart, so that no range is one value."""
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), "role", "text", F.monotonically_increasing_id().alias("row"))
+    by = ("conv_id", "turn", "role", "text", "row")
+    dealt = rows.repartitionByRange(parts, *by) if parts else rows.repartitionByRange(*by)
+    return checkpointed(dealt.sortWithinPartitions(*by).drop("row"))
 
 
-def learn(segments: DataFrame) -> LineModel:
-    """From rows (turns: array of (turn, role, text)): every line of every one is counted."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text")), strict=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(LineModel.size())
-        for b in batches:
-            for turns in b.column("turns").to_pylist():
-                text, path = written_out([(t["turn"], t["role"], t["text"] or "") for t in turns])
-                LineModel.count(path, [features(x) for x in text.split("\n")], total)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 64], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["salt", "counts"])
 
-    parts = segments.select("turns").mapInArrow(run, "salt int, counts array<double>")
-    once = parts.groupBy("salt").applyInPandas(_add, "salt int, counts array<double>")
-    got = once.groupBy(F.lit(0).alias("all")).applyInPandas(lambda pdf: _add(pdf), "salt int, counts array<double>").collect()
-    return LineModel(np.array(got[0].counts) if got else None)
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Iterator[tuple]]]:
+    """The conversations of a partition, each with its rows, streamed."""
+    return groupby(_rows(batches), key=lambda r: r[0])
 
 
-def segments(conversations: DataFrame) -> DataFrame:
-    """(conv_id, segment, slice, turns): the rows of a conversation in order, cut so that none grows without bound.
+def _lines(rows: Iterable[tuple]) -> Iterator[tuple[str, int]]:
+    """The lines of the transcript and their true states."""
+    for _, turn, role, text in rows:
+        lines, states = written_out([(turn, role, text or "")])
+        yield from zip(lines.split("\n"), states, strict=True)
 
-    A segment is 64 turn numbers; one with more rows than ``SEGMENT_ROWS``, which repeated rows can make, is dealt
-    into slices by a hash.
+
+def _seen(rows: Iterable[tuple]) -> Iterator[tuple]:
+    return (features(x) for x, _ in _lines(rows))
+
+
+@dataclass
+class Seams:
+    """What the driver knows of the partitions, a few numbers each: where a conversation goes on in the next one.
+
+    ``joined`` has the partitions whose first conversation started in the one before (``before``). For them ``enter`` has
+    the scores that come in and ``lines`` the number of lines so far; ``end`` has the state in which the last
+    conversation of a partition has to end where it goes on.
     """
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), "role", "text", F.monotonically_increasing_id().alias("row")).withColumn("segment", F.floor(F.col("turn") / SEGMENT_TURNS))
-    sizes = rows.groupBy("conv_id", "segment").agg(F.ceil(F.count("*") / SEGMENT_ROWS).alias("slices")).where("slices > 1")
-    split = rows.join(sizes.select(F.col("conv_id").alias("__c"), F.col("segment").alias("__s"), "slices"), F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("segment") == F.col("__s")), "left")
-    split = split.withColumn("slice", F.when(F.col("slices").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row"), F.col("slices"))).cast("long"))
-    return split.groupBy("conv_id", "segment", "slice").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
+    before: dict[int, int] = field(default_factory=dict)
+    last: dict[int, int | None] = field(default_factory=dict)
+    enter: dict[int, np.ndarray] = field(default_factory=dict)
+    lines: dict[int, int] = field(default_factory=dict)
+    end: dict[int, int] = field(default_factory=dict)
 
-def parsed(segs: DataFrame, model: LineModel) -> DataFrame:
-    """conv_id, segment, slice, the numbers of lines and of lines with the right role, and the canonical rendering."""
+    def opens(self) -> set[int]:
+        """The partitions whose last conversation goes on in the next one."""
+        return set(self.before.values())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = []
-            for turns in b.column("turns").to_pylist():
-                text, truth = written_out([(t["turn"], t["role"], t["text"] or "") for t in turns])
-                path = model.viterbi([features(x) for x in text.split("\n")])
-                made.append((len(path), sum(STATES[p][0] == STATES[q][0] for p, q in zip(path, truth, strict=True)), render(parse(text, model))))
-            cols = list(zip(*made, strict=True)) if made else [[], [], []]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("conv_id", "segment", "slice")), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["conv_id", "segment", "slice", "n_lines", "n_right", "rendered"])
 
-    return segs.mapInArrow(run, "conv_id long, segment long, slice long, n_lines long, n_right long, rendered string")
+def learn(rows: DataFrame) -> tuple[LineModel, Seams]:
+    """The model and the seams from ``ordered`` rows: every line of every conversation is counted.
 
+    One row of fixed size for each partition comes to the driver.
+    """
 
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, first, conv, state = np.zeros(LineModel.size()), None, None, None
+        for conv, turns in _runs(batches):
+            state = None
+            for _, turn, role, text in turns:
+                lines, path = written_out([(turn, role, text or "")])
+                LineModel.count(path, [features(x) for x in lines.split("\n")], total, state)
+                first = first or (conv, path[0])
+                state = path[-1]
+        if first:
+            values = (TaskContext.get().partitionId(), first[0], first[1], conv, state, total.tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.float64())), strict=True)], names=["part", "first_conv", "first_state", "last_conv", "last_state", "counts"])
+
+    got = sorted(rows.mapInArrow(run, "part int, first_conv long, first_state int, last_conv long, last_state int, counts array<double>").collect(), key=lambda r: r.part)
+    if not got:
+        return LineModel(), Seams()
+    total, seams, s = np.sum([r.counts for r in got], 0), Seams(), len(STATES)
+    for a, b in zip(got, got[1:], strict=False):
+        if a.last_conv == b.first_conv:  # no start but a step
+            total[b.first_state] -= 1
+            total[s + a.last_state * s + b.first_state] += 1
+            seams.before[b.part] = a.part
+    seams.last = {r.part: r.last_conv for r in got if r.part in seams.opens()}
+    model = LineModel(total)
+    if seams.before:
+        _cross(rows, model, seams)
+    return model, seams
+
+
+def _cross(rows: DataFrame, model: LineModel, seams: Seams) -> None:
+    """Fill in what enters the parts of conversations that cross seams, and where they have to end."""
+    opens = seams.opens()
+    joined, last = set(seams.before), dict(seams.last)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for i, (conv, turns) in enumerate(_runs(batches)):
+            goes_on = part in opens and conv == last[part]
+            joins = i == 0 and part in joined
+            if goes_on or joins:
+                n, m = model.product(_seen(turns), not joins)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([joins]), pa.array([goes_on]), pa.array([n], pa.int64()), pa.array([m.ravel().tolist()], pa.list_(pa.int64()))], names=["part", "joins", "goes_on", "n", "m"])
+
+    got = rows.mapInArrow(products, "part int, joins boolean, goes_on boolean, n long, m array<long>").collect()
+    leaves: dict[int, tuple[np.ndarray, int]] = {}
+    for r in sorted(got, key=lambda r: (r.part, not r.joins)):
+        m, n = np.array(r.m).reshape(-1, len(STATES)), r.n
+        if r.joins:
+            enter, before = leaves[seams.before[r.part]]
+            seams.enter[r.part], seams.lines[r.part] = enter, before
+            m, n = (enter[:, None] + m).max(0)[None, :], n + before
+        if r.goes_on:
+            leaves[r.part] = (m[0] - m[0].max(), n)
+    enters = dict(seams.enter)
+
+    def origins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for i, (conv, turns) in enumerate(_runs(batches)):
+            if i == 0 and part in enters:
+                origin, best = model.origins(_seen(turns), enters[part])
+                goes_on = part in opens and conv == last[part]
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([goes_on]), pa.array([origin.tolist()], pa.list_(pa.int32())), pa.array([int(best.argmax())], pa.int32())], names=["part", "goes_on", "origin", "best"])
+
+    back = rows.mapInArrow(origins, "part int, goes_on boolean, origin array<int>, best int").collect()
+    for r in sorted(back, key=lambda r: -r.part):
+        seams.end[seams.before[r.part]] = r.origin[seams.end[r.part] if r.goes_on else r.best]
+
+
+def parsed(rows: DataFrame, model: LineModel, seams: Seams) -> DataFrame:
+    """Pieces of the canonical renderings of ``ordered`` rows; those of a conversation by ``start_line`` make up the whole.
+
+    conv_id, start_line, n_lines, n_turns, n_right (lines with the right role), digest, rendered. ``digest`` is the
+    exclusive or of a hash of each line's number and rendering: over a conversation it doesn't depend on the pieces.
+    """
+
+    def pieces(conv: int | None, turns: Iterator[tuple], at: int, enter: np.ndarray | None, end: int | None) -> Iterator[tuple]:
+        held: list[tuple[str, int]] = []
+
+        def read() -> Iterator[tuple[tuple, int]]:
+            for line, truth in _lines(turns):
+                held.append((line, truth))
+                yield features(line), len(line)
+
+        found, ready = model.decoded(read(), enter, end), None
+        while True:
+            path = next(found, None)
+            if ready is not None:  # the last piece closes the last turn
+                yield _piece(conv, *ready, closes=path is None and end is None)
+            if path is None:
+                return
+            ready = (at, held[: len(path)], path)
+            del held[: len(path)]
+            at += len(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        made, size = [], 0
+        for i, (conv, turns) in enumerate(_runs(batches)):
+            joins = i == 0 and part in seams.enter
+            end = seams.end[part] if part in seams.end and conv == seams.last[part] else None
+            for p in pieces(conv, turns, seams.lines[part] if joins else 0, seams.enter[part] if joins else None, end):
+                made.append(p)
+                size += len(p[-1])
+                if len(made) >= 1024 or size >= 4 * PIECE_CHARS:
+                    yield _batch(made)
+                    made, size = [], 0
+        if made:
+            yield _batch(made)
+
+    return rows.mapInArrow(run, "conv_id long, start_line long, n_lines long, n_turns long, n_right long, digest long, rendered string")
+
+
+def _piece(conv: int | None, at: int, lines: list[tuple[str, int]], path: list[int], closes: bool) -> tuple:
+    parts, turns, right = [], 0, 0
+    for i, ((line, truth), state) in enumerate(zip(lines, path, strict=True)):
+        role, begins = STATES[state]
+        first = at + i == 0
+        turns += begins or first
+        right += STATES[truth][0] == role
+        parts.append(("" if first else "\n<|end|>\n") + f"<|{ROLES[role]}|>\n{stripped(line)}" if begins or first else "\n" + line)
+    if closes:
+        parts[-1] += "\n<|end|>\n"
+    digest = 0
+    for i, part in enumerate(parts, at):
+        digest ^= xxhash.xxh64_intdigest(f"{i}:{part}".encode())
+    return conv, at, len(lines), turns, right, digest - (1 << 64) if digest >> 63 else digest, "".join(parts)
+
+
+def _batch(made: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.string() if i == 6 else pa.int64()) for i, x in enumerate(zip(*made, strict=True))], names=["conv_id", "start_line", "n_lines", "n_turns", "n_right", "digest", "rendered"])
+
+
+def recovered(conversations: DataFrame, parts: int | None = None) -> DataFrame:
+    """The pieces of all conversations (see ``parsed``), by the model learned from them."""
+    rows = ordered(conversations, parts)
+    return parsed(rows, *learn(rows))
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """conv_id, n_lines, n_turns, n_right, rendered_xor: one row for each conversation."""
+    return pieces.groupBy("conv_id").agg(*[F.sum(c).alias(c) for c in ("n_lines", "n_turns", "n_right")], F.bit_xor("digest").alias("rendered_xor"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import attention_lm, byte_bpe, chat_parse, chroma, compress_quality, line_dedup, ngram_join, oracles, packing, quality_rules, secret_scan
-from .common import checkpointed, table
+from .common import table
 
 
 def op6_quality_rules(spark, sf_dir):
@@ -50,9 +50,7 @@ def op5_byte_bpe(spark, sf_dir, vocabulary: str = "byte_bpe_multi_50k.tiktoken")
 
 def op8_chat_format(spark, sf_dir):
     """Conversations written out as transcripts, their roles recovered, rendered canonically."""
-    segs = checkpointed(chat_parse.segments(table(spark, sf_dir, "conversations")))
-    out = chat_parse.parsed(segs, chat_parse.learn(segs))
-    return out.select("conv_id", "segment", "slice", "n_lines", "n_right", F.sha2("rendered", 256).alias("rendered_sha256"))
+    return chat_parse.digests(chat_parse.recovered(table(spark, sf_dir, "conversations")))
 
 
 def op9_ngram_jaccard(spark, sf_dir):

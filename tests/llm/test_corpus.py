@@ -248,11 +248,46 @@ def test_chat_roles(spark):
     rows = [(c, t, ("user", "assistant")[t % 2], f"{'What is it' if t % 2 == 0 else 'It is so'} {c} {t}?\nsecond line of it") for c in range(30) for t in range(6)]
     rows += [(None, None, None, None), (5, 1, "assistant", ""), (7, 0, "stranger", "who"), rows[0]]
     conv = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, turns string").repartition(3)
-    segs = chat_parse.segments(conv).cache()
-    out = chat_parse.parsed(segs, chat_parse.learn(segs)).collect()
+    out = chat_parse.recovered(conv).collect()
     assert sum(r.n_lines for r in out) == sum((r[3] or "").count("\n") + 1 for r in rows)
     assert sum(r.n_right for r in out) >= 0.95 * sum(r.n_lines for r in out)
-    assert chat_parse.segments(conv.limit(0)).count() == 0
+    assert chat_parse.digests(chat_parse.recovered(conv.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 3, 13])
+def test_chats_however_cut(spark, parts, monkeypatch):
+    """One conversation with most of the rows, repeated rows and turn numbers, texts without marker: as decoded in one go."""
+    said = ("What now?", "so it is. and on\nand on\n\nEnd.", "", "Bot: no\nUser: yes", "x" * 200, "it - goes on, 3")
+    rows = [(4, t // 2, ("user", "assistant", "system")[t % 3], said[t * 7 % 6]) for t in range(300)]
+    rows += [(c, t, ("user", "assistant")[t % 2], said[(c + t) % 6]) for c in (1, 9) for t in range(4)]
+    rows += [(4, 5, "user", "again")] * 40 + [(None, None, None, None), (None, 2, None, "who"), (12, 0, "user", None)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    monkeypatch.setattr(chat_parse, "PIECE_LINES", 50)
+    order = chat_parse.ordered(conv, parts)
+    model, seams = chat_parse.learn(order)
+    got = defaultdict(list)
+    for r in chat_parse.parsed(order, model, seams).collect():
+        got[r.conv_id].append(r)
+    want = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[0] or 0, r[1] or 0, r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")):
+        want[r[0]].append((r[1] or 0, r[2], r[3] or ""))
+    counts = np.zeros(chat_parse.LineModel.size())
+    for turns in want.values():
+        text, path = chat_parse.written_out(turns)
+        chat_parse.LineModel.count(path, [chat_parse.features(x) for x in text.split("\n")], counts)
+    whole = chat_parse.LineModel(counts)
+    assert (whole.move == model.move).all() and (whole.begin == model.begin).all() and all((a == b).all() for a, b in zip(whole.emit, model.emit, strict=True))
+    assert len(seams.before) >= (parts == 13) * 8 and set(got) == set(want)
+    for conv_id, turns in want.items():
+        text, path = chat_parse.written_out(turns)
+        pieces = sorted(got[conv_id], key=lambda r: r.start_line)
+        parsed = chat_parse.parse(text, whole) if text else [("user", "")]
+        assert "".join(r.rendered for r in pieces) == chat_parse.render(parsed) or not text
+        assert sum(r.n_turns for r in pieces) == len(parsed) and sum(r.n_lines for r in pieces) == len(path)
+        roles = [chat_parse.STATES[s][0] for s in whole.viterbi([chat_parse.features(x) for x in text.split("\n")])]
+        assert sum(r.n_right for r in pieces) == sum(a == chat_parse.STATES[p][0] for a, p in zip(roles, path, strict=True))
+    digests = sorted(map(key, chat_parse.digests(chat_parse.parsed(order, model, seams)).collect()))
+    assert digests == sorted(map(key, chat_parse.digests(chat_parse.recovered(conv, 2)).collect()))
 
 
 def test_viterbi_is_the_best_path():
@@ -262,7 +297,7 @@ def test_viterbi_is_the_best_path():
     seen = [chat_parse.features(x) for x in ("User: hello there", "how are you?", "Assistant: fine", "and more.")]
     score = lambda p: m.begin[p[0]] + sum(m.move[a, b] for a, b in zip(p, p[1:], strict=False)) + sum(m.emit[k][s, f[k]] for s, f in zip(p, seen, strict=True) for k in range(4))
     best = max(product(range(len(chat_parse.STATES)), repeat=4), key=score)
-    assert abs(score(best) - score(m.viterbi(seen))) < 1e-9
+    assert score(best) == score(m.viterbi(seen))
     assert chat_parse.parse("System: be kind\nUser: hi\nAssistant: hello\nagain", m) == [("system", "be kind"), ("user", "hi"), ("assistant", "hello\nagain")]
     assert chat_parse.parse("", m) == [] and chat_parse.render([("user", "x")]) == "<|user|>\nx\n<|end|>\n"
 
