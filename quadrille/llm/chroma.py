@@ -30,6 +30,8 @@ GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: A match: at least so many votes and this share of the shorter recording, at most this share of bits wrong.
 VOTES, OVERLAP, ERRORS = 3, 0.5, 0.2
 QUERY_BLOCK = 512
+#: Offsets of a query that a vote can tell apart, in frames; more than a recording has.
+SHIFTS = 1 << 40
 
 
 def _fold_matrix() -> np.ndarray:
@@ -110,24 +112,26 @@ class QueryBlock:
         self.at = np.concatenate([np.arange(n) for n in sizes])[order] if prints else np.zeros(0, int)
 
     def matches(self, p: np.ndarray) -> list[tuple[int, int, float]]:
-        """(key, offset, share of wrong bits) of the queries that p matches."""
+        """(key, offset, share of wrong bits) of the queries that p matches, at the offset with most votes that will do."""
         lo, hi = np.searchsorted(self.values, p, "left"), np.searchsorted(self.values, p, "right")
         n = hi - lo
         if not n.sum():
             return []
         hits = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         shift = self.at[hits] - np.repeat(np.arange(len(p)), n)
-        key = self.who[hits].astype(np.int64) * (1 << 20) + shift + (1 << 19)
+        key = self.who[hits].astype(np.int64) * SHIFTS + shift + SHIFTS // 2
         votes, count = np.unique(key, return_counts=True)
         out = []
-        who = votes >> 20
+        who = votes // SHIFTS
         for q in np.unique(who[count >= VOTES]):
             own = np.flatnonzero(who == q)
-            best = own[np.argmax(count[own])]
-            offset = int(votes[best] & ((1 << 20) - 1)) - (1 << 19)
-            length, wrong = align(self.prints[q], p, offset)
-            if length >= OVERLAP * min(len(p), len(self.prints[q])) and wrong <= ERRORS * 32 * length:
-                out.append((self.keys[q], offset, wrong / (32 * length)))
+            own = own[count[own] >= VOTES]
+            for best in own[np.argsort(-count[own], kind="stable")]:
+                offset = int(votes[best] % SHIFTS) - SHIFTS // 2
+                length, wrong = align(self.prints[q], p, offset)
+                if length >= OVERLAP * min(len(p), len(self.prints[q])) and wrong <= ERRORS * 32 * length:
+                    out.append((self.keys[q], offset, wrong / (32 * length)))
+                    break
         return out
 
 
@@ -149,7 +153,7 @@ def _matched(block: QueryBlock):
             for k, n, p in zip(*(b.column(c).to_pylist() for c in ("class", "copies", "print")), strict=True):
                 rows += [(key, k, n, offset, wrong) for key, offset, wrong in block.matches(np.frombuffer(p, "<u4"))]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.float64()), strict=True)], names=["class", "match", "n_copies", "offset", "wrong"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["class", "match", "n_copies", "offset", "wrong"])
 
     return run
 
@@ -168,9 +172,10 @@ def _aligned(kept: DataFrame, every: int) -> DataFrame:
     for i in range(blocks):
         part = asked.where(F.pmod("h", F.lit(blocks)) == i).collect()  # about QUERY_BLOCK rows
         block = QueryBlock([r["class"] for r in part], [np.frombuffer(bytes(r.print), "<u4") for r in part])
-        met = classes.select("class", "copies", "print").mapInArrow(_matched(block), "class string, match string, n_copies long, offset int, wrong double")
+        # Computed at once, so that the driver holds the prints of one block only.
+        met = checkpointed(classes.select("class", "copies", "print").mapInArrow(_matched(block), "class string, match string, n_copies long, offset long, wrong double"))
         found = met if found is None else found.unionByName(met)
-    own = classes.where("asked and copies > 1").select("class", F.col("class").alias("match"), (F.col("copies") - 1).alias("n_copies"), F.lit(0).alias("offset"), F.lit(0.0).alias("wrong"))
+    own = classes.where("asked and copies > 1").select("class", F.col("class").alias("match"), (F.col("copies") - 1).alias("n_copies"), F.lit(0).cast("long").alias("offset"), F.lit(0.0).alias("wrong"))
     found = checkpointed(found.where("class <> match").unionByName(own))
     totals = found.groupBy("class").agg(F.sum("n_copies").alias("n_matches"), F.sum(F.when(F.col("class") == F.col("match"), F.col("n_copies"))).alias("n_equal"))
     ask = kept.where(asks).select(F.col("id").alias("query"), (F.length("print") / 4).cast("long").alias("n_frames"), "class")

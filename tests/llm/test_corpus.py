@@ -320,6 +320,19 @@ def test_shifted_recordings_align():
     assert chroma.QueryBlock([], []).matches(q) == [] and not len(chroma.fingerprint(np.zeros(100)))
 
 
+def test_alignment_tries_every_offset_with_votes():
+    """Most votes are for an offset with too little overlap; another one aligns the two."""
+    r = np.random.default_rng(3)
+    a = r.integers(0, 1 << 32, 400, dtype=np.uint32)
+    b = a ^ np.uint32(1)  # one bit wrong everywhere but in few frames
+    b[:: 400 // 4] = a[:: 400 // 4]
+    b[390:] = a[:10]
+    got = chroma.QueryBlock([1], [a]).matches(b)
+    assert [(k, o) for k, o, _ in got] == [(1, 0)] and got[0][2] < 0.1
+    far = chroma.QueryBlock([1], [a]).matches(np.concatenate([r.integers(0, 1 << 32, (1 << 19) + 9, dtype=np.uint32), a]))
+    assert [(k, o) for k, o, _ in far] == [(1, -(1 << 19) - 9)]
+
+
 def test_alignment_over_rows(spark):
     noisy = lambda v, e: (np.array(v) * 1.0 + e).tolist()
     rows = [(0, vector(1)), (1, vector(1)), (2, noisy(vector(1), 1e-4)), (3, vector(5)), (50, vector(1)), (51, None), (52, []), (100, vector(7)), (None, vector(7))]
