@@ -60,10 +60,10 @@ def ancestors(edges: DataFrame, starts: DataFrame | None = None, reflexive: bool
     return out
 
 
-def descendants(edges: DataFrame, roots: DataFrame, reflexive: bool = True) -> DataFrame:
-    """(root, node, depth) of what lies under each root (column root)."""
+def descendants(edges: DataFrame, roots: DataFrame, reflexive: bool = True, max_depth: int = 10_000) -> DataFrame:
+    """(root, node, depth) of what lies under each root (column root), down to ``max_depth``."""
     turned = edges.select(F.col("parent").alias("child"), F.col("child").alias("parent"))
-    return ancestors(turned, roots.select(F.col("root").alias("node")), reflexive).select(F.col("node").alias("root"), F.col("ancestor").alias("node"), "depth")
+    return ancestors(turned, roots.select(F.col("root").alias("node")), reflexive, max_depth).select(F.col("node").alias("root"), F.col("ancestor").alias("node"), "depth")
 
 
 def path_counts(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
@@ -87,6 +87,31 @@ def path_counts(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     return out.groupBy("node", "ancestor").agg(F.sum("paths").alias("paths"), F.max("depth").alias("longest"))
 
 
+def longest_ways(edges: DataFrame) -> DataFrame:
+    """(node, longest): steps of the longest way from a root down to each class; the hierarchy must have no cycle.
+
+    Round k holds the classes that k steps reach, each once, so no pairs are made.
+    """
+    edges = settled(clean(edges))
+    every = edges.select(F.explode(F.array("child", "parent")).alias("node")).distinct()
+    bound = edges.agg(F.count_distinct("child")).first()[0]
+    front = settled(roots(edges).withColumn("depth", F.lit(0)))
+    fronts = [front]
+    while not front.isEmpty():
+        if len(fronts) > bound + 1:
+            raise CyclicHierarchy("the hierarchy has a cycle")
+        step = front.join(edges, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct()
+        front = settled(step.withColumn("depth", F.lit(len(fronts))))
+        fronts.append(front)
+    out = fronts[0]
+    for x in fronts[1:]:
+        out = out.unionByName(x)
+    out = settled(every.join(out.groupBy("node").agg(F.max("depth").alias("longest")), "node", "left"))
+    if not out.where("longest is null").isEmpty():  # below no root
+        raise CyclicHierarchy("the hierarchy has a cycle")
+    return out
+
+
 def forest_ancestors(edges: DataFrame, view: str = "__forest") -> DataFrame:
     """As ``ancestors`` without the starts themselves, for a tree or forest: one recursive query, no checkpoints."""
     spark = edges.sparkSession

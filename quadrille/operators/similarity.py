@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .closure import ancestors, clean, leaves, path_counts, roots, settled
+from .closure import ancestors, clean, descendants, longest_ways, roots, settled
 
 
 def _up(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -53,28 +53,33 @@ def path_similarity(edges: DataFrame, pairs: DataFrame, simulate_root: bool = Tr
     return out.select("a", "b", F.coalesce(1.0 / (1 + F.col("length")), F.lit(0.0)).alias("similarity"))
 
 
-def _all_for(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """Pairs of each start (node) with every class that shares an ancestor: a, node, length of the way, and the ancestor."""
-    up = settled(_up(edges, None).unionByName(roots(edges).select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
-    mine = up.join(start.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("a"), F.col("ancestor").alias("cs"), F.col("depth").alias("da"))
-    other = up.select("node", F.col("ancestor").alias("cs"), F.col("depth").alias("db"))
+def _all_for(edges: DataFrame, start: DataFrame, longest: int | None = None) -> DataFrame:
+    """Pairs of each start (node) with every class that shares an ancestor: a, node, length of the way, and the ancestor.
+
+    Up from the starts, then down from what is above them: the rest of the taxonomy is not walked. No step goes beyond
+    ``longest``.
+    """
+    edges = settled(clean(edges))
+    bound = {} if longest is None else {"max_depth": longest}
+    mine = settled(ancestors(edges, start, **bound).select(F.col("node").alias("a"), F.col("ancestor").alias("cs"), F.col("depth").alias("da")))
+    other = descendants(edges, mine.select(F.col("cs").alias("root")), **bound).select(F.col("root").alias("cs"), "node", F.col("depth").alias("db"))
     return mine.join(other, "cs").select("a", "node", "cs", (F.col("da") + F.col("db")).alias("length")).where((F.col("length") > 0) & (F.col("node") != F.col("a")))
 
 
 def path_search(edges: DataFrame, start: DataFrame, least: float) -> DataFrame:
     """(a, node, similarity): the classes with a path similarity of ``least`` or more to each start."""
-    found = _all_for(edges, start).groupBy("a", "node").agg(F.min("length").alias("length"))
-    return found.select("a", "node", (1.0 / (1 + F.col("length"))).alias("similarity")).where(F.col("length") <= 1.0 / least - 1)
+    longest = int(1.0 / least - 1) if least > 0 else None
+    found = _all_for(edges, start, longest).groupBy("a", "node").agg(F.min("length").alias("length"))
+    found = found.select("a", "node", "length", (1.0 / (1 + F.col("length"))).alias("similarity"))
+    return (found.where(F.col("length") <= 1.0 / least - 1) if least > 0 else found).drop("length")
 
 
 def taxonomy_depths(edges: DataFrame) -> DataFrame:
     """(cs, depth): of each class the longest way from a leaf over it to a root, in classes."""
-    up = path_counts(edges)
-    every = clean(edges).select(F.explode(F.array("child", "parent")).alias("node")).distinct()
-    to_root = up.join(roots(edges).withColumnRenamed("node", "ancestor"), "ancestor").groupBy("node").agg(F.max("longest").alias("above"))
-    from_leaf = up.join(leaves(edges), "node").groupBy(F.col("ancestor").alias("node")).agg(F.max("longest").alias("below"))
-    out = every.join(to_root, "node", "left").join(from_leaf, "node", "left")
-    return out.select(F.col("node").alias("cs"), (F.coalesce("above", F.lit(0)) + F.coalesce("below", F.lit(0)) + 1).alias("depth"))
+    edges = settled(clean(edges))
+    turned = edges.select(F.col("parent").alias("child"), F.col("child").alias("parent"))
+    above, below = longest_ways(edges).withColumnRenamed("longest", "above"), longest_ways(turned).withColumnRenamed("longest", "below")
+    return above.join(below, "node").select(F.col("node").alias("cs"), (F.col("above") + F.col("below") + 1).alias("depth"))
 
 
 def _lch(length, depth):

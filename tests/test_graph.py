@@ -5,7 +5,7 @@ import math
 import pytest
 
 from quadrille.engine import Engine
-from quadrille.operators.closure import CyclicHierarchy, ancestors, path_counts
+from quadrille.operators.closure import CyclicHierarchy, ancestors, longest_ways, path_counts
 from quadrille.operators.shacl import ShapeError
 from quadrille.streaming.validation import ValidationFailed, touched_nodes, validate_change, validating_sink
 
@@ -175,3 +175,11 @@ def test_queries_against_sql(spark, name):
     cols = sorted(df.columns)
     norm = lambda rows: sorted(repr(tuple(round(x, 6) if isinstance(x, float) else x for x in r)) for r in rows)
     assert norm(tuple(r) for r in df.select(*cols).collect()) == norm(c.sql(entry.oracle_sql()[name]).select(", ".join(cols)).fetchall())
+
+
+def test_longest_ways_and_cycles(spark):
+    edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("c", "a"), ("d", "c"), ("d", "d"), ("x", None)], "child string, parent string")
+    assert {r.node: r.longest for r in longest_ways(edges).collect()} == {"a": 0, "b": 1, "c": 2, "d": 3}
+    for more in [("p", "q"), ("q", "p")], [("a", "e"), ("e", "d")], [("b", "d")]:
+        with pytest.raises(CyclicHierarchy):
+            longest_ways(edges.union(spark.createDataFrame(more, "child string, parent string"))).collect()
