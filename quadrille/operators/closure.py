@@ -112,13 +112,26 @@ def longest_ways(edges: DataFrame) -> DataFrame:
     return out
 
 
-def forest_ancestors(edges: DataFrame, view: str = "__forest") -> DataFrame:
-    """As ``ancestors`` without the starts themselves, for a tree or forest: one recursive query, no checkpoints."""
-    spark = edges.sparkSession
-    clean(edges).createOrReplaceTempView(view)
-    return spark.sql(f"""WITH RECURSIVE up(node, ancestor, depth) MAX RECURSION LEVEL 1000 AS (
-        SELECT child, parent, 1 FROM {view} UNION ALL SELECT u.node, e.parent, u.depth + 1 FROM up u JOIN {view} e ON e.child = u.ancestor)
-        SELECT node, ancestor, depth FROM up""")
+def forest_ancestors(edges: DataFrame) -> DataFrame:
+    """As ``ancestors`` without the starts themselves, for a tree or forest of any depth and size.
+
+    Steps of 1, 2, 4, ... are made first, each by joining the one before with itself, until none is that long. A way
+    up is then one choice of such steps, the short ones first, so that few rows meet at the nodes near a root.
+    """
+    edges = settled(clean(edges))
+    bound = edges.agg(F.count_distinct("child")).first()[0]
+    jump, jumps = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")), []
+    while not jump.isEmpty():
+        if 1 << len(jumps) > bound:
+            raise CyclicHierarchy("the hierarchy has a cycle")
+        jumps.append(jump)
+        jump = settled(jump.alias("a").join(jump.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor"))
+    every = edges.select(F.explode(F.array("child", "parent")).alias("at")).distinct()
+    out = edges.select(F.col("child").alias("node")).distinct().select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))
+    for i, jump in enumerate(jumps):
+        steps = every.select("at", F.col("at").alias("to"), F.lit(0).alias("more")).unionByName(jump.select(F.col("node").alias("at"), F.col("ancestor").alias("to"), F.lit(1 << i).alias("more")))
+        out = out.join(steps, F.col("ancestor") == F.col("at")).select("node", F.col("to").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+    return out.where("depth > 0")
 
 
 def roots(edges: DataFrame) -> DataFrame:

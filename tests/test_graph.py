@@ -5,7 +5,7 @@ import math
 import pytest
 
 from quadrille.engine import Engine
-from quadrille.operators.closure import CyclicHierarchy, ancestors, longest_ways, path_counts
+from quadrille.operators.closure import CyclicHierarchy, ancestors, forest_ancestors, longest_ways, path_counts
 from quadrille.operators.shacl import ShapeError
 from quadrille.streaming.validation import ValidationFailed, touched_nodes, validate_change, validating_sink
 
@@ -183,3 +183,27 @@ def test_longest_ways_and_cycles(spark):
     for more in [("p", "q"), ("q", "p")], [("a", "e"), ("e", "d")], [("b", "d")]:
         with pytest.raises(CyclicHierarchy):
             longest_ways(edges.union(spark.createDataFrame(more, "child string, parent string"))).collect()
+
+
+def test_forest_ancestors_deep_and_many(spark):
+    # Beyond the rows and the levels that one recursive query may have.
+    wide = spark.range(1, 150_001).selectExpr("id AS child", "(id - 1) div 3 AS parent")
+    pairs = forest_ancestors(wide)
+    depth_of = [0]
+    for i in range(1, 150_001):
+        depth_of.append(depth_of[(i - 1) // 3] + 1)
+    got = pairs.selectExpr("count(*) AS n", "sum(depth) AS steps", "count_if(ancestor = 0) AS roots").first()
+    assert tuple(got) == (sum(depth_of), sum(d * (d + 1) // 2 for d in depth_of), 150_000) and got.n > 1_000_000
+    assert {(r.ancestor, r.depth) for r in pairs.where("node = 100").collect()} == {(33, 1), (10, 2), (3, 3), (0, 4)}
+    chain = spark.range(1, 1101).selectExpr("id AS child", "id - 1 AS parent")
+    got = forest_ancestors(chain).selectExpr("count(*) AS n", "max(depth) AS deepest", "count_if(node - ancestor <> depth) AS wrong").first()
+    assert tuple(got) == (1100 * 1101 // 2, 1100, 0)
+
+
+def test_forest_ancestors_odd(spark):
+    edges = spark.createDataFrame([("b", "a"), ("b", "a"), ("c", "b"), ("d", "d"), ("x", None), (None, "a")], "child string, parent string")
+    assert sorted(map(tuple, forest_ancestors(edges).collect())) == [("b", "a", 1), ("c", "a", 2), ("c", "b", 1)]
+    assert forest_ancestors(edges.limit(0)).count() == 0
+    for more in [("p", "q"), ("q", "p")], [("a", "c")]:
+        with pytest.raises(CyclicHierarchy):
+            forest_ancestors(edges.union(spark.createDataFrame(more, "child string, parent string")))
