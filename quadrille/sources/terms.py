@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 from urllib.parse import urljoin
 
 from ..model import RDF, XSD
 
 LANG_STRING = RDF + "langString"
+_FORBIDDEN = re.compile(r'[\x00-\x20<>"{}|\\^`]').search
 
 
 class ParseError(ValueError):
@@ -67,6 +69,6 @@ def resolve(base: str | None, iri: str) -> str:
 
 def check_iri(iri: str, strict: bool) -> str:
     """The IRI, if it has a scheme and no forbidden characters; otherwise an error, if ``strict``."""
-    if strict and (":" not in iri or any(c in ' <>"{}|\\^`' or ord(c) <= 32 for c in iri)):
+    if strict and (":" not in iri or _FORBIDDEN(iri)):
         raise ParseError(f"not an IRI: <{iri}>")
     return iri

@@ -74,7 +74,7 @@ class Document:
             spo = tuple(r["subjectSPO"]) if r["subjectSPO"] else None
             seen[(r["subject"], r["predicate"], r["object"], bool(r["isLiteral"]), r["literalType"], r["literalLang"], spo, r.get("graph") if isinstance(r, dict) else None)] = None
         self.rows = sorted(seen, key=lambda x: tuple("" if v is None else str(v) for v in (x[7], *x[:7])))
-        used = {split_iri(v)[0] for r in self.rows for v in (r[0], r[1], None if r[3] else r[2], r[4]) if v}
+        used = {split_iri(v)[0] for v in {v for r in self.rows for v in (r[0], r[1], None if r[3] else r[2], r[4]) if v}}
         self.prefixes = {p: n for p, n in sorted((prefixes or {}).items()) if n in used}
         self.short = {n: p for p, n in self.prefixes.items()}
 

@@ -7,6 +7,7 @@ import tarfile
 import zipfile
 
 import pytest
+from pyspark.sql import Row
 
 from quadrille.config import GraphConfig, GraphConfigError, Mappings, PrefixError, Prefixes
 from quadrille.engine import Engine
@@ -222,6 +223,38 @@ def test_collect(spark):
         assert facts(parse_text(got, name)) == facts(view.distinct().withColumns({"graph": view.literalLang}).collect())
 
 
+def test_collect_parts(spark, tmp_path):
+    from quadrille.operators.collect import PART_CHARS, collect_parts
+
+    spo = "if(id % 3 = 0, null, array(concat('http://ex.org/s', id), 'http://ex.org/p', concat('_:b', id % 7)))"
+    lit = "id % 5 > 0"
+    view = spark.range(20_000).selectExpr(
+        "id % 2 AS k", f"if({spo} is null, concat('http://ex.org/s', id div 9), concat('<< ', array_join({spo}, ' '), ' >>')) AS subject", "'graph://schema#qty' AS predicate",
+        f"if({lit}, concat(id % 4, ' \"x\\n', repeat('y', 200)), 'http://ex.org/o') AS object", f"{lit} AS isLiteral", f"if({lit}, '{XSD}string', null) AS literalType", "cast(null AS string) AS literalLang", f"{spo} AS subjectSPO")
+    view = view.unionByName(view.where("k = 1 and subject like '%1 %'")).unionByName(view.limit(1).selectExpr("9L AS k", "'http://ex.org/one' AS subject", "predicate", "object", "isLiteral", "literalType", "literalLang", "cast(null AS array<string>) AS subjectSPO"))
+    want = sorted(map(repr, view.distinct().selectExpr("k", "subject", "predicate", "object", "literalType", "subjectSPO").collect()))
+    row = lambda k, s: Row(k=k, subject=s.subject, predicate=s.predicate, object=s.object, literalType=s.literalType, subjectSPO=s.subjectSPO)
+    texts = collect_parts(view, "ttlstar", "k", prefixes={"b": "graph://schema#"}).collect()
+    assert len({r.k for r in texts}) == 3 < len(texts) and max(len(r.rdf) for r in texts) < 1.5 * PART_CHARS
+    assert sorted(repr(row(r.k, s)) for r in texts for s in parse_text(r.rdf, "Turtle-star")) == want
+    whole = {k: "".join(r.rdf for r in texts if r.k == k) for k in (0, 1, 9)}
+    assert sorted(repr(row(k, s)) for k, x in whole.items() for s in parse_text(x, "Turtle-star")) == want
+    then = collect_parts(view, "ttlstar", "k", then=lambda key, text: [(*key, len(parse_text(text, "Turtle-star")))] if key[0] < 9 else [], schema="k long, n long")
+    assert {r.k: r.n for r in then.groupBy("k").sum("n").toDF("k", "n").collect()} == {k: sum(x.startswith(f"Row(k={k},") for x in want) for k in (0, 1)}
+
+
+def test_no_task_holds_a_group_of_the_star_round_trip(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["turtle_star_round_trip"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+
+
+def test_parser_forgets_iris_with_their_prefix():
+    text = "@prefix a: <http://x/> . a:s a:p a:o . @prefix a: <http://y/> . a:s a:p <r> . @base <http://z/> . a:s a:p <r> ."
+    assert [(s.subject, s.object) for s in parse_text(text, "Turtle")] == [("http://x/s", "http://x/o"), ("http://y/s", "http://example.org/base/r"), ("http://y/s", "http://z/r")]
+
+
 def test_line_strings_that_cannot_be_read_fail(spark):
     from quadrille.config import ParserConfig
     from quadrille.sources.readers import _lines
