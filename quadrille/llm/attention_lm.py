@@ -20,6 +20,8 @@ start; rows may repeat and doc_ids may be null (null is a training row); other c
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -300,8 +302,17 @@ def _count(end: int):
     return run
 
 
+def _spared() -> None:
+    """Gives back what a worker has kept since it encoded texts (the tokenizer and its caches) and what is free since."""
+    loaded.cache_clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library may have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _train(counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _spared()
         model, tree, pending, tokens = Attention(), Tree(counts), None, 0
 
         def step(before: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> int:
@@ -347,9 +358,13 @@ def learn(training: DataFrame, path: str, end: int) -> tuple[np.ndarray, np.ndar
 
 class Scorer:
     def __init__(self, path: str, end: int, counts: np.ndarray, params: np.ndarray):
-        self.tok, self.end, self.model = loaded(path), end, Attention(params)
+        self.path, self.end, self.model = path, end, Attention(params)
         self.tree = Tree(counts, params[Attention.SIZE :] if len(params) > Attention.SIZE else None)
 
+    @property
+    def tok(self):
+        return loaded(self.path)  # not needed for ids
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return self.scores_of([np.append(np.frombuffer(self.tok.encode(t), "<u4"), self.end) for t in texts])
 
@@ -399,6 +414,24 @@ def _unpacked(x: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(x), "<u4")
 
 
+def _dictionary(held: list[tuple[bool, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[bytes], list[bytes]]:
+    """The words of a run of documents in order and their count in training; each document's places among them and times, packed.
+
+    ``held`` has for each document whether it is held out, its words (ordered hashes, each once) and how often it has them.
+    Documents are looked up one by one, so that beside the words themselves nothing is as long as all of them together.
+    """
+    words = np.unique(np.concatenate([w for _, w, _ in held]))
+    known = np.zeros(len(words), np.int64)
+    places, times = [], []
+    for out, w, n in held:
+        at = np.searchsorted(words, w)
+        if not out:
+            known[at] += n
+        places.append(_packed(np.diff(at, prepend=0)))
+        times.append(_packed(n))
+    return words, known, places, times
+
+
 RUN = "run long, doc_id long, held_out boolean, n_tokens long, score double, places binary, times binary, word long, place int, count long"
 
 
@@ -406,6 +439,7 @@ def _score_and_list(path: str, end: int, counts: np.ndarray, params: np.ndarray)
     """Rows of documents, and rows of the words of each run of documents with their count in training."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _spared()
         scorer = Scorer(path, end, counts, params)
         names = [f.split()[0] for f in RUN.split(", ")]
         types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
@@ -415,21 +449,18 @@ def _score_and_list(path: str, end: int, counts: np.ndarray, params: np.ndarray)
             nonlocal held, number
             key = (part << 24) + number
             number += 1
-            words, back = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
-            times = np.concatenate([h[4] for h in held])
-            teach = np.repeat([not h[1] for h in held], [len(h[3]) for h in held])
-            known = np.bincount(back, times * teach, len(words)).astype(np.int64)
-            ends = np.cumsum([len(h[3]) for h in held])
-            places = np.split(back, ends[:-1])
+            words, known, places, times = _dictionary([(out, w, c) for _, out, _, w, c in held])
             n = len(held)
-            cols = [np.full(n, key), [h[0] for h in held], [h[1] for h in held], [int(h[4].sum()) for h in held], [h[2] for h in held], [_packed(np.diff(p, prepend=0)) for p in places], [_packed(h[4]) for h in held]]
+            cols = [np.full(n, key), [h[0] for h in held], [h[1] for h in held], [int(h[4].sum()) for h in held], [h[2] for h in held], places, times]
+            held = []
             yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(cols, types, strict=False)), *(pa.nulls(n, t) for t in types[7:])], names=names)
             m = len(words)
             for i in range(0, m, 100_000):
                 j = slice(i, min(i + 100_000, m))
                 k = j.stop - i
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, key)), *(pa.nulls(k, t) for t in types[1:7]), pa.array(words[j].view(np.int64)), pa.array(np.arange(i, j.stop, dtype=np.int32)), pa.array(known[j])], names=names)
-            held = []
+            del words, known, places, times, cols
+            _spared()
 
         size = 0
         for b in batches:
@@ -439,7 +470,8 @@ def _score_and_list(path: str, end: int, counts: np.ndarray, params: np.ndarray)
                 for k, out, text, score in zip(c.column("doc_id").to_pylist(), c.column("held_out").to_pylist(), texts, scorer.scores_of([_unpacked(x) for x in c.column("ids").to_pylist()]), strict=True):
                     w = text.lower().split()
                     h = np.append(np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)), END_WORD)
-                    held.append((k, out, float(score), *np.unique(h, return_counts=True)))
+                    words, times = np.unique(h, return_counts=True)
+                    held.append((k, out, float(score), words, times.astype(np.uint32)))
                     size += len(text)
                 if size >= RUN_BYTES:
                     yield from close()

@@ -455,3 +455,34 @@ def test_context_tells_rare_subwords_apart():
     r = np.random.default_rng(9)
     good, bad = scorer.scores_of([right, text(1)])
     assert good > bad + 20
+
+
+def test_lm_scores_without_the_tokenizer():
+    # The ids are there already; a worker that scores keeps no tokenizer with its caches beside the model.
+    packing.loaded.cache_clear()
+    scorer = attention_lm.Scorer("no such file", 99, np.ones(100), attention_lm.Attention().flat)
+    assert (scorer.scores_of([np.array([5, 7, 99], "<u4")]) < 0).all() and packing.loaded.cache_info().currsize == 0
+
+
+def test_lm_dictionary_of_a_run_of_documents():
+    import tracemalloc
+
+    r = np.random.default_rng(5)
+    held = []
+    for i in range(400):
+        w, n = np.unique(r.integers(0, 2**63, 40) if i % 3 else r.integers(0, 50, 30), return_counts=True)
+        held.append((i % 7 == 2, w.astype(np.uint64), n.astype(np.uint32)))
+    words, known, places, times = attention_lm._dictionary(held)
+    want = {}
+    for out, w, n in held:
+        for x, k in zip(w.tolist(), n.tolist(), strict=True):
+            want[x] = want.get(x, 0) + (0 if out else k)
+    assert dict(zip(words.tolist(), known.tolist(), strict=True)) == want and words.tolist() == sorted(want)
+    for (_, w, n), p, t in zip(held, places, times, strict=True):
+        assert words[np.cumsum(attention_lm._unpacked(p), dtype=np.int64)].tolist() == w.tolist() and attention_lm._unpacked(t).tolist() == n.tolist()
+    many = [(False, np.unique(r.integers(0, 2**63, 5000).astype(np.uint64)), np.ones(5000, np.uint32)) for _ in range(200)]
+    tracemalloc.start()
+    attention_lm._dictionary(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * sum(w.nbytes for _, w, _ in many)
