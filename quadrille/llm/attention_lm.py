@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -39,12 +40,17 @@ from .packing import loaded
 
 #: Model: rows of the embedding, width, window, subwords of context that a window repeats.
 ROWS, WIDTH, WINDOW, CONTEXT = 2048, 16, 32, 16
+assert WINDOW == 2 * CONTEXT  # scoring goes by blocks of CONTEXT subwords, of which a window has two
 #: Learning: windows a step, rate of the attention layer, rate of the tree's vectors.
 BATCH, RATE, NODE_RATE = 128, 1e-2, 1e-1
 #: Added to every count, so that each subword has a leaf of the tree.
 SMOOTH = 0.1
 #: Windows scored at once; places of a step whose paths are held at once; bytes of text that share a dictionary.
 SCORED_AT_ONCE, AT_ONCE, RUN_BYTES = 32, 1024, 32_000_000
+#: Blocks of texts that are put together for scoring, at least.
+WAITING = 2048
+#: Nodes of the tree asked of all places at once.
+TOP = 32
 END_WORD = np.uint64(0x5EED0FE2D)
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
@@ -123,11 +129,12 @@ class Attention:
 
 
 def _summed_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys (below 2 ** 16) and the sums of their rows."""
+    """The distinct keys (below 2 ** 16) and the sums of their rows, which have an even number of places."""
     order = np.argsort(keys.astype(np.uint16), kind="stable")
     ordered = keys[order]
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    return ordered[first], np.add.reduceat(rows[order], first)
+    # In pairs, as complex numbers: half as many columns to go down.
+    return ordered[first], np.add.reduceat(rows.take(order, 0).view(np.complex64), first).view(np.float32)
 
 
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,6 +161,9 @@ class Tree:
     Each inner node has a vector and a bias; the chance of its first child is the logistic function of their sum with
     the hidden row. The biases begin as the counts have it and the vectors at 0, so the tree begins as the unigram
     model. A subword asks about as many questions as its share has bits, so frequent ones are cheap.
+
+    The heaviest nodes are the last, and with one are all above it. Most questions are theirs: they are asked of all
+    places in one product of matrices, with 0 as the sign where a path leaves them. The rest are gathered path by path.
     """
 
     def __init__(self, counts: np.ndarray, flat: np.ndarray | None = None):
@@ -181,7 +191,23 @@ class Tree:
         self.nodes, self.signs = np.concatenate(nodes)[order], np.concatenate(signs)[order].astype(np.float32)
         self.length = np.bincount(owner, minlength=n)
         self.begin = np.cumsum(self.length) - self.length
-        self.v = np.zeros((n - 1, WIDTH), np.float32)
+        self.top = n - 1 - min(TOP, n - 1)
+        asked = np.flatnonzero(self.nodes >= self.top)
+        self.below = self.length - np.bincount(owner[order[asked]], minlength=n)  # a path goes up: these come first
+        last = self.begin + self.below  # where a path meets the heaviest nodes
+        way = self.nodes[last] * 2 + (self.signs[last] > 0)
+        met, self.leaves_by = np.unique(way, return_inverse=True)
+        sample = np.zeros(len(met), np.int64)
+        sample[self.leaves_by] = np.arange(n)
+        self.top_signs = np.zeros((len(met), n - 1 - self.top), np.float32)
+        for i, k in enumerate(sample.tolist()):
+            path = slice(last[k], self.begin[k] + self.length[k])
+            self.top_signs[i, self.nodes[path] - self.top] = self.signs[path]
+        self.none_asked = (np.float32(np.log(2)) * (self.top_signs == 0).sum(1)).astype(np.float32)
+        bias = self.bias
+        self.both = np.zeros((n - 1, WIDTH + 2), np.float32)  # the last column stays 0: an even number is summed faster
+        self.v, self.bias = self.both[:, :WIDTH], self.both[:, WIDTH]
+        self.bias[:] = bias
         if flat is not None:
             self.v[:] = flat[: self.v.size].reshape(self.v.shape)
             self.bias[:] = flat[self.v.size : self.v.size + n - 1]
@@ -192,43 +218,76 @@ class Tree:
         return np.concatenate([self.v.ravel(), self.bias])
 
     def _asked(self, h: np.ndarray, ids: np.ndarray):
-        """The questions of all ids in order: where an id's begin, how many it has, nodes, signs, vectors, what they sum to."""
-        length = self.length[ids]
-        first = np.cumsum(length) - length
-        at = np.repeat(self.begin[ids] - first, length)
-        at += np.arange(len(at))
-        nodes = self.nodes[at]
-        vectors = self.v[nodes]
-        z = np.einsum("ij,ij->i", vectors, np.repeat(h, length, 0))
-        z += self.bias[nodes]
-        signs = self.signs[at]
+        """What all questions are about: those of the heaviest nodes place by place, the others layer by layer.
+
+        The first layer has the first question of each place that asks others, the second the second of those that
+        ask two, and so on; places with more come first, so that each layer is of the first so many. Gives the hidden
+        rows with a 1 and a 0; the heaviest nodes' signs and signed sums; the others' places, layers (as slices), nodes, signs,
+        hidden rows, vectors with biases, signed sums.
+        """
+        given, h = h, np.zeros((len(h), WIDTH + 2), np.float32)
+        h[:, :WIDTH], h[:, WIDTH] = given, 1
+        top_signs = self.top_signs.take(self.leaves_by.take(ids), 0)
+        top = h @ self.both[self.top :].T
+        top *= top_signs
+        length = self.below.take(ids)
+        so_many = np.bincount(length)
+        places = np.argsort(-length.astype(np.int16), kind="stable")[: len(ids) - (so_many[0] if len(so_many) else 0)]
+        ends = np.cumsum(np.cumsum(so_many[:0:-1])[::-1]).tolist()
+        layers = [slice(i, j) for i, j in zip([0, *ends], ends, strict=False)]
+        begin, rows = self.begin.take(ids.take(places)), np.empty((ends[-1] if ends else 0, WIDTH + 2), np.float32)
+        at, mine = np.empty(len(rows), np.int64), h.take(places, 0)
+        for i, x in enumerate(layers):
+            k = x.stop - x.start
+            rows[x] = mine[:k]
+            np.add(begin[:k], i, out=at[x])
+        nodes, signs = self.nodes.take(at), self.signs.take(at)
+        vectors = self.both.take(nodes, 0)
+        z = np.einsum("ij,ij->i", vectors, rows)
         z *= signs
-        return first, length, nodes, signs, vectors, z
+        return h, top_signs, top, places, layers, nodes, signs, rows, vectors, z
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of the ids."""
         out = np.zeros(len(ids), np.float32)
         for i in range(0, len(ids), AT_ONCE):
-            first, *_, z = self._asked(h[i : i + AT_ONCE], ids[i : i + AT_ONCE])
-            np.negative(z, out=z)
-            np.minimum(z, 80, out=z)
-            np.exp(z, out=z)
-            out[i : i + AT_ONCE] = -np.add.reduceat(np.log1p(z, out=z), first)
+            part = ids[i : i + AT_ONCE]
+            _, _, top, places, layers, *_, z = self._asked(h[i : i + AT_ONCE], part)
+            for x in (top, z):
+                np.negative(x, out=x)
+                np.minimum(x, 80, out=x)
+                np.exp(x, out=x)
+                x += 1
+                np.log(x, out=x)
+            others = np.zeros(len(places), np.float32)
+            for x in layers:
+                others[: x.stop - x.start] += z[x]
+            got = self.none_asked[self.leaves_by[part]] - top.sum(1)
+            got[places] -= others
+            out[i : i + AT_ONCE] = got
         return out
 
     def gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The gradient by the hidden rows; the nodes met and the gradient by their vectors and biases."""
-        first, length, nodes, signs, vectors, z = self._asked(h, ids)
-        np.minimum(z, 80, out=z)
-        np.exp(z, out=z)
-        z += 1
-        by_sum = -signs / z
-        vectors *= by_sum[:, None]
-        rows = np.empty((len(z), WIDTH + 1), np.float32)
-        rows[:, :WIDTH] = np.repeat(h, length, 0)
-        rows[:, WIDTH] = 1
-        rows *= by_sum[:, None]
-        return np.add.reduceat(vectors, first), *_summed_by(nodes, rows)
+        """The gradient by the hidden rows; the nodes met (and all of the heaviest) and the gradient by their vectors and biases."""
+        h, top_signs, top, places, layers, nodes, signs, rows, vectors, z = self._asked(h, ids)
+        for x in (top, z):
+            np.minimum(x, 80, out=x)
+            np.exp(x, out=x)
+            x += 1
+        np.divide(top_signs, top, out=top)
+        np.negative(top, out=top)
+        dh, met, g = top @ self.v[self.top :], np.arange(self.top, len(self.v)), top.T @ h
+        if len(places):
+            by_sum = (-signs / z)[:, None]
+            vectors *= by_sum
+            rows *= by_sum
+            others = np.zeros((len(places), WIDTH), np.float32)
+            for x in layers:
+                others[: x.stop - x.start] += vectors[x, :WIDTH]
+            dh[places] += others
+            nodes, sums = _summed_by(nodes, rows)
+            met, g = np.concatenate([nodes, met]), np.concatenate([sums, g])
+        return dh, met, g[:, : WIDTH + 1]
 
     def step(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Moves the vectors and biases of the nodes met; gives the gradient by the hidden rows before that."""
@@ -237,8 +296,7 @@ class Tree:
             out[i : i + AT_ONCE], met, g = self.gradients(h[i : i + AT_ONCE], ids[i : i + AT_ONCE])
             self.sums[met] += (g * g).mean(1, keepdims=True)
             g *= np.float32(NODE_RATE) / np.sqrt(self.sums[met])
-            self.v[met] -= g[:, :WIDTH]
-            self.bias[met] -= g[:, WIDTH]
+            self.both[met, : WIDTH + 1] -= g
         return out
 
 
@@ -284,7 +342,7 @@ def _encode(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, last = loaded(path), np.array([end], "<u4").tobytes()
         for b in sliced(batches):
-            ids = [zlib.compress(tok.encode(t) + last, 1) for t in b.column("text").to_pylist()]
+            ids = [_squeezed(tok.encode(t) + last) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "text", "held_out")), pa.array(ids, pa.binary())], names=["doc_id", "text", "held_out", "ids"])
 
     return run
@@ -310,9 +368,17 @@ def _spared() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def _begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch] | None:
+    """The same batches, or None if there are none: many tasks have no rows and need no model."""
+    first = next(batches, None)
+    return None if first is None else itertools.chain([first], batches)
+
+
 def _train(counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _spared()
+        if (batches := _begun(batches)) is None:
+            return
         model, tree, pending, tokens = Attention(), Tree(counts), None, 0
 
         def step(before: np.ndarray, ids: np.ndarray, taken: np.ndarray) -> int:
@@ -360,6 +426,7 @@ class Scorer:
     def __init__(self, path: str, end: int, counts: np.ndarray, params: np.ndarray):
         self.path, self.end, self.model = path, end, Attention(params)
         self.tree = Tree(counts, params[Attention.SIZE :] if len(params) > Attention.SIZE else None)
+        self.by_row, self.by_place = self._tables()
 
     @property
     def tok(self):
@@ -369,49 +436,76 @@ class Scorer:
         return self.scores_of([np.append(np.frombuffer(self.tok.encode(t), "<u4"), self.end) for t in texts])
 
     def scores_of(self, all_ids: list[np.ndarray]) -> np.ndarray:
-        """log10 of the probability of each text, given its ids; windows of all texts share batches."""
-        out = np.zeros(len(all_ids))
-        xs, ys, marks, owner, waiting = [], [], [], [], 0
-        step, places = WINDOW - CONTEXT, np.arange(WINDOW)
-
-        def flush() -> None:
-            nonlocal xs, ys, marks, owner, waiting
-            x, y, m, who = np.concatenate(xs), np.concatenate(ys), np.concatenate(marks), np.concatenate(owner)
-            ids, who = y[m], np.repeat(who, m.sum(1))
-            h = np.concatenate([self.model.hidden(x[i : i + SCORED_AT_ONCE])[m[i : i + SCORED_AT_ONCE].ravel()] for i in range(0, len(x), SCORED_AT_ONCE)])
-            logs = self.tree.log_probs(h, ids).astype(np.float64)
-            out[:] += np.bincount(who, logs, len(out))
-            xs, ys, marks, owner, waiting = [], [], [], [], 0
-
+        """log10 of the probability of each text, given its ids; blocks of all texts share batches."""
+        out, begin, waiting = np.zeros(len(all_ids)), 0, 0
         for i, ids in enumerate(all_ids):
-            ids = ids.astype(np.int64)
-            n = len(ids)
-            windows = 1 + max(0, -(-(n - WINDOW) // step))
-            room = (windows - 1) * step + WINDOW
-            rows = np.full(room, ROWS)
-            rows[1:n] = rows_of(ids[:-1])
-            targets = np.zeros(room, np.int64)
-            targets[:n] = ids
-            at = np.arange(windows)[:, None] * step + places
-            mark = (at < n) & ((places >= CONTEXT) | (at < WINDOW) & (np.arange(windows)[:, None] == 0))
-            xs.append(rows[at])
-            ys.append(targets[at])
-            marks.append(mark)
-            owner.append(np.full(windows, i))
-            waiting += windows
-            if waiting >= 64 * SCORED_AT_ONCE:
-                flush()
-        if waiting:
-            flush()
+            waiting += -(-len(ids) // CONTEXT)
+            if waiting >= WAITING or i == len(all_ids) - 1:
+                out[begin : i + 1] = self._scores(all_ids[begin : i + 1])
+                begin, waiting = i + 1, 0
         return out / np.log(10)
 
+    def _scores(self, all_ids: list[np.ndarray]) -> np.ndarray:
+        lengths = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
+        blocks = -(-lengths // CONTEXT)
+        starts = np.cumsum(blocks) - blocks
+        begins = starts[lengths > 0]
+        flat = np.concatenate(all_ids).astype(np.int64)
+        at = np.arange(len(flat)) + np.repeat(starts * CONTEXT - (np.cumsum(lengths) - lengths), lengths)
+        rows = np.full((blocks.sum() + 1, CONTEXT), ROWS)  # a block in front stands for what the first has before it
+        rows.ravel()[CONTEXT + at[1:]] = rows_of(flat[:-1])
+        rows[1 + begins, 0] = ROWS
+        first = np.zeros(len(rows) - 1, bool)
+        first[begins] = True
+        step, logs = 2 * SCORED_AT_ONCE, np.empty(len(flat), np.float32)
+        for i in range(0, len(first), step):
+            j, k = np.searchsorted(at, (i * CONTEXT, (i + step) * CONTEXT))
+            h = self._hidden(rows[i : i + step + 1], first[i : i + step])
+            logs[j:k] = self.tree.log_probs(h.take(at[j:k] - i * CONTEXT, 0), flat[j:k])
+        return np.bincount(np.repeat(np.arange(len(all_ids)), lengths), logs, len(all_ids))
+
+    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """By embedding row and by place: query, key, value as it goes to the hidden row, and the input itself."""
+        p, d = self.model.at, WIDTH
+        w = np.concatenate([p["w"][:, :d] * np.float32(d**-0.5), p["w"][:, d : 2 * d], p["w"][:, 2 * d :] @ p["o"], np.eye(d, dtype=np.float32)], 1)
+        return p["e"] @ w, p["p"] @ w
+
+    def _hidden(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The hidden rows of all blocks but the one in front; the ``first`` of a text has none before it.
+
+        A block's places are the second half of a window and the block before it is the first, or, if it is a text's
+        first, the first half. So the hidden rows are those of ``Attention.hidden`` on windows that begin every
+        CONTEXT subwords; but no place goes through the model in both.
+        """
+        c, d = CONTEXT, WIDTH
+        met = self.by_row.take(rows, 0)
+        own = met[1:] + self.by_place[c:]
+        at = np.flatnonzero(first)
+        own[at] = met[1:][at] + self.by_place[:c]
+        keys = np.concatenate([met[:-1, :, d : 2 * d] + self.by_place[:c, d : 2 * d], own[..., d : 2 * d]], 1)
+        values = np.ones((len(own), WINDOW, d + 1), np.float32)  # the last sums the weights
+        np.add(met[:-1, :, 2 * d : 3 * d], self.by_place[:c, 2 * d : 3 * d], out=values[:, :c, :d])
+        values[:, c:, :d] = own[..., 2 * d : 3 * d]
+        a = own[..., :d] @ keys.transpose(0, 2, 1)
+        a += _MASK[c:]
+        a[at, :, :c] = -1e9
+        np.minimum(a, 60, out=a)
+        np.exp(a, out=a)
+        o = a @ values
+        return (own[..., 3 * d :] + o[..., :d] / o[..., d:]).reshape(-1, d)
+
+
+def _squeezed(x: bytes) -> bytes:
+    """Compressed, after the number of bytes. A column's value has less than 2 ** 31."""
+    return len(x).to_bytes(4, "little") + pa.compress(x, "zstd", asbytes=True)
+
 
 def _packed(x: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(x.astype("<u4")).tobytes(), 1)
+    return _squeezed(np.ascontiguousarray(x.astype("<u4")).tobytes())
 
 
 def _unpacked(x: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), "<u4")
+    return np.frombuffer(pa.decompress(x[4:], int.from_bytes(x[:4], "little"), "zstd", asbytes=True), "<u4")
 
 
 def _dictionary(held: list[tuple[bool, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[bytes], list[bytes]]:
@@ -440,6 +534,8 @@ def _score_and_list(path: str, end: int, counts: np.ndarray, params: np.ndarray)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _spared()
+        if (batches := _begun(batches)) is None:
+            return
         scorer = Scorer(path, end, counts, params)
         names = [f.split()[0] for f in RUN.split(", ")]
         types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]

@@ -486,3 +486,55 @@ def test_lm_dictionary_of_a_run_of_documents():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 5 * sum(w.nbytes for _, w, _ in many)
+
+
+def test_lm_blocks_of_many_texts_are_scored_as_windows():
+    """Texts of all lengths about a block's and a window's in one call: each scored as by plain windows, no place twice."""
+    r = np.random.default_rng(11)
+    counts = r.integers(0, 9, 400).astype(float)
+    tree, m = attention_lm.Tree(counts), attention_lm.Attention()
+    tree.v[:] = r.normal(0, 0.3, tree.v.shape)
+    m.flat[:] = r.normal(0, 0.4, m.flat.shape)
+    s = attention_lm.Scorer("no such file", 399, counts, np.concatenate([m.flat, tree.flat]))
+    w, c = attention_lm.WINDOW, attention_lm.CONTEXT
+    texts = [r.integers(0, 400, n) for n in (*range(1, 70), 0, 500, 3 * c, 40_000, 1)]
+    asked, hidden = [], s._hidden
+    s._hidden = lambda rows, first: asked.append(len(first)) or hidden(rows, first)
+    got = s.scores_of(texts)
+    assert sum(asked) == sum(-(-len(x) // c) for x in texts) and max(asked) <= 2 * attention_lm.SCORED_AT_ONCE
+    for ids, x in zip(texts, got, strict=True):
+        rows, total, at = np.concatenate([[attention_lm.ROWS], attention_lm.rows_of(ids[:-1])]), 0.0, 0
+        while at < len(ids):
+            begin = max(0, at - c)
+            part = slice(begin, min(begin + w, len(ids)))
+            total += tree.log_probs(m.hidden(rows[None, part])[at - begin :], ids[at : part.stop]).sum(dtype=float)
+            at = part.stop
+        assert math.isclose(x, total / math.log(10), rel_tol=1e-4, abs_tol=1e-9)
+    assert len(s.scores_of([])) == 0
+
+
+def test_lm_tree_is_walked_question_by_question():
+    """Trees smaller and larger than the heaviest nodes: sums and gradients are those of each path by itself."""
+    for n in (2, 9, 33, 34, 700):
+        r = np.random.default_rng(n)
+        counts = r.zipf(1.4, n).clip(0, 10**4).astype(float)
+        counts[r.integers(0, n, n // 3)] = 0
+        tree = attention_lm.Tree(counts)
+        tree.v[:] = r.normal(0, 0.5, tree.v.shape)
+        ids = np.concatenate([np.arange(n), r.choice(n, 300, p=counts / counts.sum())]) if counts.any() else np.arange(n)
+        h = r.normal(size=(len(ids), attention_lm.WIDTH)).astype(np.float32)
+        logs, want_dh, want = np.zeros(len(ids)), np.zeros(h.shape), np.zeros((n - 1, attention_lm.WIDTH + 1))
+        for k, (x, row) in enumerate(zip(ids, h.astype(float), strict=True)):
+            for at in range(tree.begin[x], tree.begin[x] + tree.length[x]):
+                node, sign = tree.nodes[at], tree.signs[at]
+                z = sign * (tree.v[node] @ row + tree.bias[node])
+                logs[k] -= np.log1p(np.exp(-z))
+                want_dh[k] -= sign / (1 + np.exp(z)) * tree.v[node]
+                want[node] -= sign / (1 + np.exp(z)) * np.append(row, 1)
+        dh, met, g = tree.gradients(h, ids)
+        full = np.zeros_like(want)
+        full[met] = g
+        assert np.allclose(tree.log_probs(h, ids), logs, atol=1e-4) and np.allclose(dh, want_dh, atol=1e-4) and np.allclose(full, want, atol=1e-3)
+    # Of the largest, most questions are the heaviest nodes': the others are few.
+    common = ids[n:]
+    assert len(tree._asked(h[n:], common)[-1]) < tree.length[common].sum() / 2
