@@ -269,14 +269,19 @@ class Tree:
 
     def gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The gradient by the hidden rows; the nodes met (and all of the heaviest) and the gradient by their vectors and biases."""
+        dh, met, g = self._gradients(h, ids)
+        return dh, met, g[:, : WIDTH + 1]
+
+    def _gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same with the column of zeros."""
         h, top_signs, top, places, layers, nodes, signs, rows, vectors, z = self._asked(h, ids)
         for x in (top, z):
             np.minimum(x, 80, out=x)
             np.exp(x, out=x)
             x += 1
         np.divide(top_signs, top, out=top)
-        np.negative(top, out=top)
-        dh, met, g = top @ self.v[self.top :], np.arange(self.top, len(self.v)), top.T @ h
+        dh, met, g = top @ -self.v[self.top :], np.arange(self.top, len(self.v)), top.T @ h
+        np.negative(g, out=g)
         if len(places):
             by_sum = (-signs / z)[:, None]
             vectors *= by_sum
@@ -287,16 +292,18 @@ class Tree:
             dh[places] += others
             nodes, sums = _summed_by(nodes, rows)
             met, g = np.concatenate([nodes, met]), np.concatenate([sums, g])
-        return dh, met, g[:, : WIDTH + 1]
+        return dh, met, g
 
     def step(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Moves the vectors and biases of the nodes met; gives the gradient by the hidden rows before that."""
         out = np.empty_like(h)
         for i in range(0, len(ids), AT_ONCE):
-            out[i : i + AT_ONCE], met, g = self.gradients(h[i : i + AT_ONCE], ids[i : i + AT_ONCE])
-            self.sums[met] += (g * g).mean(1, keepdims=True)
-            g *= np.float32(NODE_RATE) / np.sqrt(self.sums[met])
-            self.both[met, : WIDTH + 1] -= g
+            out[i : i + AT_ONCE], met, g = self._gradients(h[i : i + AT_ONCE], ids[i : i + AT_ONCE])
+            sums = self.sums.take(met, 0)
+            sums += np.einsum("ij,ij->i", g, g)[:, None] / np.float32(WIDTH + 1)
+            self.sums[met] = sums
+            g *= np.float32(NODE_RATE) / np.sqrt(sums)
+            self.both[met] -= g
         return out
 
 
